@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analyses are batch reports over bounded time windows; none of them
+keeps state across arriving data, uses watermarks or event-time windows.
+Nothing is built here on purpose (see README, "Not built").  Each analysis
+is a plain DataFrame function, so it can be applied to a micro-batch in
+``foreachBatch`` if a caller wants periodic refreshes.
+"""

@@ -68,7 +68,7 @@ def _bounce_flag(sessions: DataFrame, t: Tables) -> DataFrame:
 
 def home_bounce_rate(t: Tables, *, before: str = "2012-06-14", landing: str = HOME) -> DataFrame:
     """Bounce rate of sessions landing on ``landing`` (one row)."""
-    first = first_views(t.P.filter(in_range("created_at", before=before)))
+    first = first_views(t.P.filter(in_range("created_at", before=before)), landings=[landing])
     landed = _bounce_flag(first.filter(F.col("landing_page") == landing).select(SID), t)
     return landed.agg(
         F.count(SID).alias("total_sessions"),
@@ -109,10 +109,10 @@ def landing_page_test(
     """Bounce rate per landing page for one source/campaign; the window is
     on calendar dates of the pageviews."""
     pw = t.P.filter(date_in_range("created_at", from_=from_date, before=before_date))
-    first = first_views(pw).join(
+    first = first_views(pw, landings=landings).join(
         _sessions_of(t, (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)), SID
     )
-    landed = _bounce_flag(first.filter(F.col("landing_page").isin(*landings)).select(SID, "landing_page"), t)
+    landed = _bounce_flag(first.filter(F.col("landing_page").isNotNull()).select(SID, "landing_page"), t)
     return landed.groupBy("landing_page").agg(
         F.count(SID).alias("total_sessions"),
         F.sum("bounce_or_not").cast("long").alias("bounce_numbers"),
@@ -131,7 +131,7 @@ def landing_page_weekly_trend(
     """Weekly bounce rate and landing-page mix for one source/campaign.
     Both end days are excluded (``date > after`` and ``date < before``)."""
     pw = t.P.filter(date_in_range("created_at", after=after_date, before=before_date))
-    first = first_views(pw, F.min(F.to_date("created_at")).alias("created_date")).join(
+    first = first_views(pw, F.min(F.to_date("created_at")).alias("created_date"), landings=landings).join(
         _sessions_of(t, (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)), SID
     )
     b = _bounce_flag(first.select(SID, "landing_page", "created_date"), t)
@@ -158,7 +158,7 @@ def session_click_funnel(
     """Per session that landed on ``landing``: number of views of each
     funnel page (views, not 0/1 flags; pageviews are not date-bounded)."""
     pw = t.P.filter(in_range("created_at", after=after, before=before))
-    first = first_views(pw).join(_sessions_of(t, F.col("utm_source") == source), SID)
+    first = first_views(pw, landings=[landing]).join(_sessions_of(t, F.col("utm_source") == source), SID)
     landed = first.filter(F.col("landing_page") == landing).select(SID)
     counts = url_counts(t.P, steps)
     names = list(steps)

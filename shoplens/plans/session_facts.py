@@ -24,16 +24,29 @@ PVID = "website_pageview_id"
 URL = "pageview_url"
 
 
-def first_views(pageviews: DataFrame, *extra: Column) -> DataFrame:
+def first_views(pageviews: DataFrame, *extra: Column, landings: Sequence[str] | None = None) -> DataFrame:
     """Per session: the lowest pageview id and its URL (the landing page).
 
     "First" means the minimum id, not the earliest time.  ``min_by`` replaces
-    the join back to pageviews on the id (the id is the table's key)."""
-    return pageviews.groupBy(SID).agg(
-        F.min(PVID).alias("first_pv_id"),
-        F.min_by(URL, PVID).alias("landing_page"),
-        *extra,
+    the join back to pageviews on the id (the id is the table's key).
+
+    With ``landings`` the caller only cares whether the landing page is one
+    of those URLs: ``landing_page`` is then that URL or NULL.  The aggregate
+    then carries the URL's position in the list (an integer) instead of the
+    string, which keeps it a hash aggregate; a string-valued ``min_by`` would
+    force a sort-based aggregate over every pageview."""
+    if landings is None:
+        landing = F.min_by(URL, PVID).alias("landing_page")
+        return pageviews.groupBy(SID).agg(F.min(PVID).alias("first_pv_id"), landing, *extra)
+    urls = F.array(*[F.lit(u) for u in landings])
+    pos = F.array_position(urls, F.col(URL)).cast("int")
+    agg = pageviews.groupBy(SID).agg(
+        F.min(PVID).alias("first_pv_id"), F.min_by(pos, PVID).alias("_landing_pos"), *extra
     )
+    return agg.withColumn(
+        "landing_page",
+        F.when(F.col("_landing_pos") > 0, F.element_at(urls, F.col("_landing_pos").cast("int"))),
+    ).drop("_landing_pos")
 
 
 def view_counts(pageviews: DataFrame) -> DataFrame:

@@ -1,0 +1,61 @@
+"""Plan checks: no Python in the hot path, no cartesian products, filters
+and column pruning reach the Parquet scan, hash (not sort) aggregation for
+the landing-page analyses."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+
+import pytest
+
+from conftest import SF_SMALL
+
+from shoplens.operators import OPERATORS
+from shoplens.sources import from_driver_dir, read_parquet_tables, write_parquet_tables
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="shoplens-plan-"), "tables")
+    write_parquet_tables(from_driver_dir(spark, SF_SMALL), path)
+    return read_parquet_tables(spark, path)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_no_python_and_no_cartesian(stored, name):
+    p = plan_of(OPERATORS[name](stored))
+    for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in p, f"{name}: {bad}"
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["top_traffic_sources", "top_pages", "home_bounce_rate", "product_funnels", "cross_sell", "product_sales",
+     "product_refund_rates", "repeat_visitors"],
+)
+def test_time_filter_pushed_to_scan(stored, name):
+    p = plan_of(OPERATORS[name](stored))
+    assert "PushedFilters: [IsNotNull(created_at)" in p or "LessThan(created_at" in p, p
+
+
+def test_url_filter_pushed_for_step_counts(stored):
+    p = plan_of(OPERATORS["session_click_funnel"](stored))
+    assert "PushedFilters: [In(pageview_url" in p
+
+
+@pytest.mark.parametrize(
+    "name", ["home_bounce_rate", "landing_page_test", "landing_page_weekly_trend", "session_click_funnel"]
+)
+def test_landing_analyses_use_hash_aggregation(stored, name):
+    p = plan_of(OPERATORS[name](stored))
+    assert "SortAggregate" not in p and "HashAggregate" in p
+
+
+def test_column_pruning(stored):
+    p = plan_of(OPERATORS["top_pages"](stored))
+    assert "ReadSchema: struct<created_at:timestamp_ntz,website_session_id:bigint,pageview_url:string>" in p

@@ -111,6 +111,18 @@ class Tables:
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
+    def key_violations(self) -> dict[str, DataFrame]:
+        """Per table, the key values that occur more than once (lazy; empty
+        DataFrames when the keys hold).  Distributed: one grouped count per
+        table, nothing is collected."""
+        from pyspark.sql import functions as F
+
+        out = {}
+        for name, key in PRIMARY_KEYS.items():
+            df = getattr(self, name)
+            out[name] = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+        return out
+
     def validate(self) -> "Tables":
         """Check that every required column is present with a compatible type."""
         for name, df in self.as_dict().items():

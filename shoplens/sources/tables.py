@@ -58,11 +58,25 @@ def write_bucketed_tables(
 ) -> Tables:
     """Catalog tables at ``path``; the session-keyed tables are bucketed by
     ``website_session_id`` with the same bucket count, so joins and groupings
-    on the session key between them need no exchange."""
+    on the session key between them need no exchange.
+
+    Rows are hash-partitioned on the bucket key first, so each bucket is
+    written by one task as one file (no tasks x buckets small files), and each
+    bucket file is sorted by ``created_at`` so Parquet min/max statistics still
+    skip row groups outside an analysis' time window."""
     pre = f"{database}." if database else ""
     for name, df in tables.as_dict().items():
-        w = df.write.mode(mode).format("parquet").option("path", os.path.join(path, name))
         if name in SESSION_KEYED:
-            w = w.bucketBy(buckets, "website_session_id").sortBy("website_session_id")
+            w = (
+                df.repartition(buckets, "website_session_id")
+                .write.mode(mode)
+                .format("parquet")
+                .option("path", os.path.join(path, name))
+                .bucketBy(buckets, "website_session_id")
+                .sortBy("created_at")
+            )
+        else:
+            out = df.sortWithinPartitions("created_at") if "created_at" in df.columns else df
+            w = out.write.mode(mode).format("parquet").option("path", os.path.join(path, name))
         w.saveAsTable(pre + name)
     return read_catalog_tables(spark, database)

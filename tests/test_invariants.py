@@ -54,3 +54,8 @@ def test_user_counts_match_histogram(spark):
     users = ops.repeat_visitors(t).agg(F.sum("users")).first()[0]
     n = t.S.filter("created_at >= '2014-01-01' and created_at < '2014-11-01'").select("user_id").distinct().count()
     assert users == n
+
+
+def test_fixture_keys_are_unique(spark):
+    for name, dups in _t(spark).key_violations().items():
+        assert dups.limit(1).count() == 0, name

@@ -59,3 +59,23 @@ def test_landing_analyses_use_hash_aggregation(stored, name):
 def test_column_pruning(stored):
     p = plan_of(OPERATORS["top_pages"](stored))
     assert "ReadSchema: struct<created_at:timestamp_ntz,website_session_id:bigint,pageview_url:string>" in p
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, stored):
+    from shoplens.sources import write_bucketed_tables
+
+    path = os.path.join(tempfile.mkdtemp(prefix="shoplens-bucket-"), "tables")
+    return write_bucketed_tables(spark, stored, path, buckets=4, database=None)
+
+
+@pytest.mark.parametrize(
+    "name", ["home_bounce_rate", "session_click_funnel", "product_funnels", "cross_sell", "traffic_conversion_rates"]
+)
+def test_bucketed_layout_needs_no_session_shuffle(spark, bucketed, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = OPERATORS[name](bucketed)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(website_session_id" not in p, p

@@ -50,7 +50,8 @@ def main() -> None:
         conf={
             "spark.sql.shuffle.partitions": str(cpus),
             "spark.driver.memory": "16g",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "16m"),
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": os.environ.get("BENCH_PARFIRST", "true"),
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shoplens-wh-"),
         },
     )

@@ -14,10 +14,11 @@ from shoplens.plans.session_facts import (
     PVID,
     SID,
     URL,
+    explode_periods,
     first_views,
     order_facts,
     url_counts,
-    view_counts,
+    with_bounce,
 )
 
 # The page paths of the shop's funnel.
@@ -55,15 +56,7 @@ def top_entry_pages(t: Tables, *, before: str = "2012-06-12") -> DataFrame:
 
 
 def _bounce_flag(sessions: DataFrame, t: Tables) -> DataFrame:
-    """Attach ``bounce_or_not`` (1 when the session has exactly one pageview
-    in the whole table - the count is deliberately not date-bounded).
-
-    Inner join: every session here came from a pageview, so its count is >= 1
-    and nothing is lost; an inner join also lets AQE broadcast the smaller
-    side."""
-    return sessions.join(view_counts(t.P), SID).withColumn(
-        "bounce_or_not", F.when(F.col("n_views") == 1, 1).otherwise(0)
-    )
+    return with_bounce(sessions, t.P)
 
 
 def home_bounce_rate(t: Tables, *, before: str = "2012-06-14", landing: str = HOME) -> DataFrame:
@@ -202,13 +195,16 @@ def billing_page_test(
         threshold = t.P.filter(F.col(URL) == new_url).agg(F.min(PVID)).scalar()
     else:
         threshold = F.lit(min_pageview_id)
-    pb = (
+    # one row per session with a presence count per version (grouping by the
+    # session alone keeps the join with the order facts exchange-free)
+    seen = (
         t.P.filter(in_range("created_at", before=before) & (F.col(PVID) >= threshold) & F.col(URL).isin(*urls))
-        .select(F.col(URL).alias("billing_version"), SID)
-        .distinct()
+        .groupBy(SID)
+        .agg(*[F.count(F.when(F.col(URL) == u, 1)).alias(f"v{i}") for i, u in enumerate(urls)])
     )
-    j = pb.join(order_facts(t.O), SID, "left")
-    return j.groupBy("billing_version").agg(
+    j = seen.join(order_facts(t.O), SID, "left")
+    per_version = explode_periods(j, {u: [f"v{i}"] for i, u in enumerate(urls)}, ["n"], label="billing_version")
+    return per_version.groupBy("billing_version").agg(
         F.count(SID).alias("sessions"),
         F.coalesce(F.sum("n_orders"), F.lit(0)).alias("orders"),
     ).withColumn("billing_to_order_rate", ratio("orders", "sessions"))

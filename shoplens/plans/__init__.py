@@ -10,4 +10,5 @@ from shoplens.plans.session_facts import (  # noqa: F401
     order_facts,
     url_counts,
     view_counts,
+    with_bounce,
 )

@@ -19,7 +19,14 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[4]", app="shoplens-tests", conf={"spark.sql.shuffle.partitions": "8"})
+    s = get_spark(
+        "local[4]",
+        app="shoplens-tests",
+        conf={
+            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shoplens-test-wh-"),
+        },
+    )
     checkpoint_dir(s, fallback=tempfile.mkdtemp(prefix="shoplens-test-ckpt-"))
     yield s
 

@@ -23,21 +23,24 @@ def repeat_interval(t: Tables, *, from_: str = "2014-01-01", before: str = "2014
     """Days from a user's new session to their first repeat session, both in
     the window: max, min and average over (user, new session) pairs.
 
-    The new-session side is reduced to (user, day, count) first, so a user
-    with many sessions is one row per day, and the average is weighted."""
+    Both sides are reduced to one row per user before the join: for the new
+    sessions the count and the min/max/sum of their day numbers.  With ``s``
+    the repeat day, the pair gaps ``s - d`` then give ``max = s - min(d)``,
+    ``min = s - max(d)`` and ``sum = n*s - sum(d)`` exactly (integers), so a
+    user with many sessions is one row and the join is one-to-one."""
     win = in_range("created_at", from_=from_, before=before)
     rep = F.col("is_repeat_session")
-    second = t.S.filter(win & (rep == 1)).groupBy("user_id").agg(
-        F.min(F.to_date("created_at")).alias("second_session_date")
+    day = F.unix_date(F.to_date("created_at"))
+    second = t.S.filter(win & (rep == 1)).groupBy("user_id").agg(F.min(day).alias("s"))
+    first = t.S.filter(win & (rep == 0)).groupBy("user_id").agg(
+        F.count(day).alias("n"), F.min(day).alias("d_min"), F.max(day).alias("d_max"), F.sum(day).alias("d_sum")
     )
-    first = t.S.filter(win & (rep == 0)).groupBy("user_id", F.to_date("created_at").alias("first_date")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    j = second.join(first, "user_id").withColumn("days", F.datediff("second_session_date", "first_date"))
+    j = second.join(first, "user_id")
+    s = F.col("s")
     return j.agg(
-        F.max("days").alias("max_days"),
-        F.min("days").alias("min_days"),
-        ratio(F.sum(F.col("n") * F.col("days")), F.sum("n")).alias("avg_days"),
+        F.max(s - F.col("d_min")).cast("int").alias("max_days"),
+        F.min(s - F.col("d_max")).cast("int").alias("min_days"),
+        ratio(F.sum(F.col("n") * s - F.col("d_sum")), F.sum("n")).alias("avg_days"),
     )
 
 

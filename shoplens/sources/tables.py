@@ -3,8 +3,8 @@
 ``read_tables`` opens an existing five-table layout (Parquet folders or
 catalog tables).  ``from_driver_dir`` derives the tables from the driver's
 ``events``/``part`` Parquet files.  ``write_tables`` stores a layout for
-repeated use; by default pageviews, sessions and orders are bucketed and
-sorted by ``website_session_id`` so that the session-keyed joins and
+repeated use; ``write_bucketed_tables`` buckets pageviews, sessions and
+orders by ``website_session_id`` so that the session-keyed joins and
 aggregations of the analyses read co-partitioned data without a shuffle.
 """
 
@@ -17,7 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from shoplens.model import TABLE_SCHEMAS, Tables
 from shoplens.sources.fixture import derive_tables
 
-SESSION_KEYED = ("website_sessions", "website_pageviews", "orders")
+# bucket key per table: the session key for the web tables and orders, the
+# item key for items and refunds (the only join those two take part in)
+BUCKET_KEYS = {
+    "website_sessions": "website_session_id",
+    "website_pageviews": "website_session_id",
+    "orders": "website_session_id",
+    "order_items": "order_item_id",
+    "order_item_refunds": "order_item_id",
+}
 
 
 def read_parquet_tables(spark: SparkSession, path: str) -> Tables:
@@ -56,9 +64,10 @@ def write_bucketed_tables(
     database: str | None = None,
     mode: str = "errorifexists",
 ) -> Tables:
-    """Catalog tables at ``path``; the session-keyed tables are bucketed by
-    ``website_session_id`` with the same bucket count, so joins and groupings
-    on the session key between them need no exchange.
+    """Catalog tables at ``path``, bucketed with one bucket count: sessions,
+    pageviews and orders by ``website_session_id``, items and refunds by
+    ``order_item_id``, so the joins and groupings on those keys need no
+    exchange.
 
     Rows are hash-partitioned on the bucket key first, so each bucket is
     written by one task as one file (no tasks x buckets small files), and each
@@ -66,17 +75,14 @@ def write_bucketed_tables(
     skip row groups outside an analysis' time window."""
     pre = f"{database}." if database else ""
     for name, df in tables.as_dict().items():
-        if name in SESSION_KEYED:
-            w = (
-                df.repartition(buckets, "website_session_id")
-                .write.mode(mode)
-                .format("parquet")
-                .option("path", os.path.join(path, name))
-                .bucketBy(buckets, "website_session_id")
-                .sortBy("created_at")
-            )
-        else:
-            out = df.sortWithinPartitions("created_at") if "created_at" in df.columns else df
-            w = out.write.mode(mode).format("parquet").option("path", os.path.join(path, name))
+        key = BUCKET_KEYS[name]
+        w = (
+            df.repartition(buckets, key)
+            .write.mode(mode)
+            .format("parquet")
+            .option("path", os.path.join(path, name))
+            .bucketBy(buckets, key)
+            .sortBy("created_at" if "created_at" in df.columns else key)
+        )
         w.saveAsTable(pre + name)
     return read_catalog_tables(spark, database)

@@ -53,6 +53,7 @@ def main() -> None:
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "16m"),
             "spark.sql.adaptive.coalescePartitions.parallelismFirst": os.environ.get("BENCH_PARFIRST", "true"),
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shoplens-wh-"),
+            "spark.sql.autoBroadcastJoinThreshold": os.environ.get("BENCH_BROADCAST", "10m"),
         },
     )
     checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="shoplens-ckpt-"))

@@ -160,20 +160,30 @@ def session_click_funnel(
     )
 
 
+FUNNEL_RATE_NAMES = (
+    "lander_p_rate",
+    "products_tomf_rate",
+    "tomf_cart_rate",
+    "cart_s_rate",
+    "shipping_b_rate",
+    "billing_e_rate",
+)
+
+
 def conversion_funnel_rates(t: Tables, **kw) -> DataFrame:
-    """Step-to-step click rates summed over the funnel sessions (one row)."""
+    """Step-to-step click rates summed over the funnel sessions (one row).
+
+    Takes the parameters of ``session_click_funnel``.  With the default steps
+    the rates carry the report's names; with other steps each rate is named
+    ``<step>_rate`` after the step it leads to."""
     steps = kw.get("steps", CLICK_STEPS)
     names = list(steps)
     per = session_click_funnel(t, **kw)
     sums = [F.sum(n) for n in names]
-    rate_names = [
-        "lander_p_rate",
-        "products_tomf_rate",
-        "tomf_cart_rate",
-        "cart_s_rate",
-        "shipping_b_rate",
-        "billing_e_rate",
-    ]
+    if list(steps) == list(CLICK_STEPS):
+        rate_names = list(FUNNEL_RATE_NAMES)
+    else:
+        rate_names = [f"{n}_rate" for n in names[1:]]
     return per.agg(
         sums[0].alias("total_session"),
         *[ratio(sums[i + 1], sums[i]).alias(rate_names[i]) for i in range(len(names) - 1)],

@@ -219,3 +219,16 @@ def test_repeat_interval_weights_every_new_session(make_tables):
     t = make_tables(website_sessions=s)
     (r,) = rows(ops.repeat_interval(t))
     assert r["max_days"] == 10 and r["min_days"] == 6 and r["avg_days"] == (10 + 10 + 6) / 3
+
+
+def test_funnel_with_custom_steps(make_tables):
+    s = [session_row(1, "2012-08-10 10:00:00")]
+    p = [
+        pv_row(1, "2012-08-10 10:00:00", 1, "/lander-1"),
+        pv_row(2, "2012-08-10 10:01:00", 1, "/products"),
+        pv_row(3, "2012-08-10 10:02:00", 1, "/cart"),
+    ]
+    t = make_tables(website_sessions=s, website_pageviews=p)
+    steps = {"l": "/lander-1", "p": "/products", "c": "/cart", "s": "/shipping"}
+    (r,) = rows(ops.conversion_funnel_rates(t, steps=steps))
+    assert r == {"total_session": 1, "p_rate": 1.0, "c_rate": 1.0, "s_rate": 0.0}

@@ -79,3 +79,35 @@ def test_bucketed_layout_needs_no_session_shuffle(spark, bucketed, name):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning(website_session_id" not in p, p
+
+
+# product_funnel_pages semi-joins (session, url) rows to the session set; the
+# next step is a distinct on the URL, which needs a new exchange anyway, so
+# AQE's skew-join split can divide a hot session's rows, and when the session
+# set is small the semi-join is a broadcast with no shuffle of pageviews.
+ROW_LEVEL_SEMI_JOIN = {"product_funnel_pages"}
+
+
+@pytest.mark.parametrize("name", sorted(set(OPERATORS) - ROW_LEVEL_SEMI_JOIN))
+def test_fact_tables_are_pre_aggregated_before_the_session_shuffle(spark, stored, name):
+    """Every exchange on the session key carries either partial aggregates
+    (one row per session per map task, whatever the session's size) or rows
+    of the sessions table itself (one row per session by its key) - never raw
+    pageview or order rows, so a hot session cannot overload one task."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = plan_of(OPERATORS[name](stored)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning(website_session_id" not in line:
+            continue
+        below = lines[i + 1 :]
+        skip = ("Project [", "Filter ", "Sort [", "ColumnarToRow", "InputAdapter", "WholeStageCodegen")
+        first_real = next(x for x in below if not any(k in x for k in skip))
+        if "FileScan" in first_real:
+            assert "website_sessions" in first_real, (name, first_real)
+        else:
+            assert "Aggregate" in first_real and "partial_" in first_real, (name, first_real)

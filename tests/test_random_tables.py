@@ -1,6 +1,7 @@
 """Property check: on random five-table data with heavy fan-out (several
-orders per session, repeated page views, several refund rows per item, NULL
-sources, pageview ids out of time order) every analysis equals the plain
+orders per session, repeated page views, several refund rows per item,
+pageview ids out of time order) and NULLs (sources, referers, URLs, pageview
+times, users, order sessions, item products) every analysis equals the plain
 relational DuckDB statement run over the very same rows."""
 
 from __future__ import annotations
@@ -43,21 +44,26 @@ def random_rows(seed: int, n_sessions: int = 1500):
     order_id, item_id = 1, 1
     for sid in range(1, n_sessions + 1):
         created = START + dt.timedelta(seconds=rnd.randrange(SPAN_SECONDS))
-        user = rnd.randrange(1, n_sessions // 3)
+        user = rnd.randrange(1, n_sessions // 3) if rnd.random() > 0.01 else None
         sessions.append((sid, created, user, rnd.randint(0, 1), rnd.choice(SOURCES), rnd.choice(CAMPAIGNS),
                          rnd.choice(["mobile", "desktop"]), rnd.choice(REFERERS)))
         for k in range(rnd.choice([1, 1, 2, 3, 5, 8, 12])):
             t = created + dt.timedelta(seconds=rnd.randrange(0, 3 * 86400 if k else 1))
             url = rnd.choice(LANDERS) if k == 0 and rnd.random() < 0.7 else rnd.choice(URLS)
+            if rnd.random() < 0.02:
+                url = None
+            if rnd.random() < 0.01:
+                t = None  # undated views still count in the per-session totals
             views.append((pvids.pop(), t, sid, url))
         for _ in range(rnd.choice([0, 0, 0, 1, 1, 2, 3])):
             n_items = rnd.randint(1, 3)
             price = Decimal(rnd.randrange(1000, 9000)) / 100
             oc = created + dt.timedelta(seconds=rnd.randrange(0, 86400 * 30))
-            orders.append((order_id, oc, sid, user, rnd.randint(1, 4), n_items, price * n_items,
+            o_sid = sid if rnd.random() > 0.02 else None
+            orders.append((order_id, oc, o_sid, user, rnd.randint(1, 4), n_items, price * n_items,
                            (price * Decimal("0.4")).quantize(Decimal("0.01")) * n_items))
             for _ in range(n_items):
-                items.append((item_id, oc, order_id, rnd.randint(1, 4)))
+                items.append((item_id, oc, order_id, rnd.randint(1, 4) if rnd.random() > 0.02 else None))
                 for _ in range(rnd.choice([0, 0, 0, 1, 2])):
                     refunds.append((item_id, rnd.choice([order_id, order_id, None])))
                 item_id += 1

@@ -111,3 +111,10 @@ def test_fact_tables_are_pre_aggregated_before_the_session_shuffle(spark, stored
             assert "website_sessions" in first_real, (name, first_real)
         else:
             assert "Aggregate" in first_real and "partial_" in first_real, (name, first_real)
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_no_multi_distinct_expand(stored, name):
+    """Distinct counts are either single (top_pages) or replaced by key counts
+    at their own grain, so no plan multiplies its input rows with Expand."""
+    assert "Expand" not in plan_of(OPERATORS[name](stored))

@@ -118,7 +118,12 @@ def derive_tables(events: DataFrame, part: DataFrame, *, chunk_size: int = DEFAU
 
     # ---- website_pageviews: one per event, ranked inside (session, chunk)
     rank = Window.partitionBy("user_id", "b", "chunk").orderBy("event_id")
-    pv = ev.join(chunks.select("user_id", "b", "chunk", "sid", "offset"), ["user_id", "b", "chunk"]).select(
+    # null-safe on the user: events without a user still form one session per bucket
+    ch = chunks.select(
+        F.col("user_id").alias("c_user"), F.col("b").alias("c_b"), F.col("chunk").alias("c_chunk"), "sid", "offset"
+    )
+    on = F.col("user_id").eqNullSafe(F.col("c_user")) & (F.col("b") == F.col("c_b")) & (F.col("chunk") == F.col("c_chunk"))
+    pv = ev.join(ch, on).select(
         "event_id",
         "user_id",
         "b",
@@ -176,7 +181,10 @@ def derive_tables(events: DataFrame, part: DataFrame, *, chunk_size: int = DEFAU
         "order_id",
         "created_at",
         "primary_product_id",
-        F.explode(F.sequence(F.lit(0), F.col("items_purchased") - 1)).alias("i"),
+        # no slots (not a descending sequence) when an order has no items
+        F.explode(
+            F.when(F.col("items_purchased") > 0, F.sequence(F.lit(0), F.col("items_purchased") - 1))
+        ).alias("i"),
     )
     order_items = oi.select(
         (F.col("order_id") * 2 + F.col("i")).alias("order_item_id"),

@@ -59,3 +59,36 @@ def test_user_counts_match_histogram(spark):
 def test_fixture_keys_are_unique(spark):
     for name, dups in _t(spark).key_violations().items():
         assert dups.limit(1).count() == 0, name
+
+
+def test_fixture_keeps_events_without_user(spark):
+    import datetime as dt
+
+    from shoplens.sources import derive_tables
+
+    ev = spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 1, 1), None), (2, dt.datetime(2024, 1, 1, 2), None), (3, dt.datetime(2024, 1, 1, 3), 5)],
+        "event_id long, ts timestamp_ntz, user_id long",
+    )
+    part = spark.createDataFrame([(k, 900.0 + k / 10) for k in range(4)], "p_partkey long, p_retailprice double")
+    t = derive_tables(ev, part, chunk_size=1)
+    assert t.P.count() == 3 and t.S.count() == 2
+    assert sorted(r.website_session_id for r in t.P.select("website_session_id").collect()) == [1, 1, 3]
+
+
+def test_chunked_rank_equals_single_chunk(spark):
+    """The in-session rank is computed inside chunks of consecutive events
+    (so a huge session never sorts in one task); tiny chunks must give the
+    same tables as one chunk per session."""
+    import os
+
+    from conftest import SF_SMALL
+
+    from shoplens.sources import derive_tables
+
+    ev = spark.read.parquet(os.path.join(SF_SMALL, "events.parquet"))
+    part = spark.read.parquet(os.path.join(SF_SMALL, "part.parquet"))
+    a, b = derive_tables(ev, part, chunk_size=7), derive_tables(ev, part)
+    for name in ("website_sessions", "website_pageviews", "orders", "order_items", "order_item_refunds"):
+        x, y = getattr(a, name), getattr(b, name)
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name

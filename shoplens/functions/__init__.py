@@ -2,7 +2,6 @@
 channel classification, time bounds)."""
 
 from shoplens.functions.exprs import (  # noqa: F401
-    CHANNEL_LABELS,
     ORGANIC_REFERERS,
     PAID_SOURCES,
     all_of,
@@ -10,7 +9,6 @@ from shoplens.functions.exprs import (  # noqa: F401
     count_if,
     date_in_range,
     in_range,
-    period_label,
     ratio,
     round_half_up_avg,
     sum_if,

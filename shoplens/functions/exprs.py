@@ -11,19 +11,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The traffic-channel labels and the organic-search referers
-# that the analyses classify by.
+# The paid and social sources and the organic-search referers
+# that the analyses classify by (the channel labels are in channel_group).
 PAID_SOURCES = ("gsearch", "bsearch")
 SOCIAL_SOURCE = "socialbook"
 ORGANIC_REFERERS = ("https://www.gsearch.com", "https://www.bsearch.com")
-CHANNEL_LABELS = (
-    "paid_brand",
-    "paid_nonbrand",
-    "paid_social",
-    "direct_type_in",
-    "dorganic_search",
-    "opps_wrong",
-)
 
 
 def col(c: str | Column) -> Column:
@@ -115,15 +107,6 @@ def all_of(conds: Iterable[Column]) -> Column:
     return F.lit(True) if out is None else out
 
 
-def period_label(ts: str | Column, split: str, *, labels: tuple[str, str], inclusive: bool) -> Column:
-    """Two-way split of a timestamp at ``split``: first label when
-    ``ts < split`` (or ``<=`` when ``inclusive``), second label otherwise."""
-    t = col(ts)
-    s = F.lit(split).cast("timestamp_ntz")
-    first = (t <= s) if inclusive else (t < s)
-    return F.when(first, F.lit(labels[0])).otherwise(F.lit(labels[1]))
-
-
 def channel_group(
     source: str | Column = "utm_source",
     campaign: str | Column = "utm_campaign",

@@ -107,10 +107,6 @@ def left_join_weight(n_rows: str | Column = "n_rows") -> Column:
     return F.greatest(F.coalesce(c, F.lit(0)), F.lit(1))
 
 
-def zero_if_null(*names: str) -> list[Column]:
-    return [F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names]
-
-
 def explode_periods(
     df: DataFrame,
     periods: Mapping[str, Sequence[str]],

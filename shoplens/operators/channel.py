@@ -34,10 +34,10 @@ def channel_device_mix(
 ) -> DataFrame:
     """Share of mobile sessions per source."""
     s = _nonbrand(t, after, before, campaign)
+    total, mobile = F.count(SID), count_if(F.col("device_type") == "mobile", SID)
     return s.groupBy("utm_source").agg(
-        F.count(SID).alias("total_sessions"),
-        count_if(F.col("device_type") == "mobile", SID).alias("mobile_sessions"),
-    ).withColumn("pct_of_mobile", ratio("mobile_sessions", "total_sessions"))
+        total.alias("total_sessions"), mobile.alias("mobile_sessions"), ratio(mobile, total).alias("pct_of_mobile")
+    )
 
 
 def cross_channel_conversion(
@@ -47,10 +47,10 @@ def cross_channel_conversion(
     two orders counts twice as a session), as a plain left join would."""
     s = _nonbrand(t, after, before, campaign).select(SID, "device_type", "utm_source")
     j = s.join(order_facts(t.O), SID, "left")
+    sessions, orders = F.sum(left_join_weight()), F.sum(F.coalesce(F.col("n_rows"), F.lit(0)))
     return j.groupBy("device_type", "utm_source").agg(
-        F.sum(left_join_weight()).alias("sessions"),
-        F.sum(F.coalesce(F.col("n_rows"), F.lit(0))).alias("orders"),
-    ).withColumn("conv_rate", ratio("orders", "sessions"))
+        sessions.alias("sessions"), orders.alias("orders"), ratio(orders, sessions).alias("conv_rate")
+    )
 
 
 def channel_device_weekly(

@@ -25,10 +25,10 @@ def _conversion(t: Tables, window, by: Sequence[str]) -> DataFrame:
     s = t.S.filter(window).select(SID, *by)
     o = order_facts(t.O)
     j = s.join(o, SID, "left")
+    sessions, orders = F.count(SID), F.coalesce(F.sum("n_orders"), F.lit(0))
     return j.groupBy(*by).agg(
-        F.count(SID).alias("sessions"),
-        F.coalesce(F.sum("n_orders"), F.lit(0)).alias("orders"),
-    ).withColumn("conv_rate", ratio("orders", "sessions"))
+        sessions.alias("sessions"), orders.alias("orders"), ratio(orders, sessions).alias("conv_rate")
+    )
 
 
 def traffic_conversion_rates(

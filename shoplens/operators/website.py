@@ -63,10 +63,10 @@ def home_bounce_rate(t: Tables, *, before: str = "2012-06-14", landing: str = HO
     """Bounce rate of sessions landing on ``landing`` (one row)."""
     first = first_views(t.P.filter(in_range("created_at", before=before)), landings=[landing])
     landed = _bounce_flag(first.filter(F.col("landing_page") == landing).select(SID), t)
+    total, bounces = F.count(SID), F.sum("bounce_or_not").cast("long")
     return landed.agg(
-        F.count(SID).alias("total_sessions"),
-        F.sum("bounce_or_not").cast("long").alias("bounce_number"),
-    ).withColumn("bounce_rate", ratio("bounce_number", "total_sessions"))
+        total.alias("total_sessions"), bounces.alias("bounce_number"), ratio(bounces, total).alias("bounce_rate")
+    )
 
 
 def _first_seen(t: Tables, url: str, names: tuple[str, str], *, not_null: bool) -> DataFrame:
@@ -106,10 +106,10 @@ def landing_page_test(
         _sessions_of(t, (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)), SID
     )
     landed = _bounce_flag(first.filter(F.col("landing_page").isNotNull()).select(SID, "landing_page"), t)
+    total, bounces = F.count(SID), F.sum("bounce_or_not").cast("long")
     return landed.groupBy("landing_page").agg(
-        F.count(SID).alias("total_sessions"),
-        F.sum("bounce_or_not").cast("long").alias("bounce_numbers"),
-    ).withColumn("bounce_rate", ratio("bounce_numbers", "total_sessions"))
+        total.alias("total_sessions"), bounces.alias("bounce_numbers"), ratio(bounces, total).alias("bounce_rate")
+    )
 
 
 def landing_page_weekly_trend(
@@ -214,7 +214,7 @@ def billing_page_test(
     )
     j = seen.join(order_facts(t.O), SID, "left")
     per_version = explode_periods(j, {u: [f"v{i}"] for i, u in enumerate(urls)}, ["n"], label="billing_version")
+    sessions, orders = F.count(SID), F.coalesce(F.sum("n_orders"), F.lit(0))
     return per_version.groupBy("billing_version").agg(
-        F.count(SID).alias("sessions"),
-        F.coalesce(F.sum("n_orders"), F.lit(0)).alias("orders"),
-    ).withColumn("billing_to_order_rate", ratio("orders", "sessions"))
+        sessions.alias("sessions"), orders.alias("orders"), ratio(orders, sessions).alias("billing_to_order_rate")
+    )

@@ -39,14 +39,12 @@ def first_views(pageviews: DataFrame, *extra: Column, landings: Sequence[str] |
         landing = F.min_by(URL, PVID).alias("landing_page")
         return pageviews.groupBy(SID).agg(F.min(PVID).alias("first_pv_id"), landing, *extra)
     urls = F.array(*[F.lit(u) for u in landings])
-    pos = F.array_position(urls, F.col(URL)).cast("int")
-    agg = pageviews.groupBy(SID).agg(
-        F.min(PVID).alias("first_pv_id"), F.min_by(pos, PVID).alias("_landing_pos"), *extra
+    pos = F.min_by(F.array_position(urls, F.col(URL)).cast("int"), PVID)
+    return pageviews.groupBy(SID).agg(
+        F.min(PVID).alias("first_pv_id"),
+        F.when(pos > 0, F.element_at(urls, pos)).alias("landing_page"),
+        *extra,
     )
-    return agg.withColumn(
-        "landing_page",
-        F.when(F.col("_landing_pos") > 0, F.element_at(urls, F.col("_landing_pos").cast("int"))),
-    ).drop("_landing_pos")
 
 
 def view_counts(pageviews: DataFrame) -> DataFrame:
@@ -126,8 +124,4 @@ def explode_periods(
         for name, cols in periods.items()
     ]
     keep = [c for c in df.columns if all(c not in cols for cols in periods.values())]
-    return (
-        df.select(*keep, F.explode(F.array(*structs)).alias("_p"))
-        .select(*keep, "_p.*")
-        .filter(F.col(fields[0]) > 0)
-    )
+    return df.select(*keep, F.inline(F.array(*structs))).filter(F.col(fields[0]) > 0)

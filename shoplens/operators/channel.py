@@ -60,17 +60,19 @@ def channel_device_weekly(
     s = _nonbrand(t, after, before, campaign)
     src, dev = F.col("utm_source"), F.col("device_type")
 
-    def c(source: str, device: str):
-        return count_if((src == source) & (dev == device), SID)
-
+    gm, bm, gd, bd = (
+        count_if((src == source) & (dev == device), SID)
+        for device in ("mobile", "desktop")
+        for source in ("gsearch", "bsearch")
+    )
     return s.groupBy(sunday_week("created_at").alias("week_date")).agg(
         F.min("created_at").alias("start_date"),
-        c("gsearch", "mobile").alias("gm_sessions"),
-        c("bsearch", "mobile").alias("bm_sessions"),
-        ratio(c("bsearch", "mobile"), c("gsearch", "mobile")).alias("bm_gm_rate"),
-        c("gsearch", "desktop").alias("gd_sessions"),
-        c("bsearch", "desktop").alias("bd_sessions"),
-        ratio(c("bsearch", "desktop"), c("gsearch", "desktop")).alias("bd_fd_rate"),
+        gm.alias("gm_sessions"),
+        bm.alias("bm_sessions"),
+        ratio(bm, gm).alias("bm_gm_rate"),
+        gd.alias("gd_sessions"),
+        bd.alias("bd_sessions"),
+        ratio(bd, gd).alias("bd_fd_rate"),
     )
 
 

@@ -151,19 +151,19 @@ def product_funnels(
     j = views.join(steps, SID, "left")
     e = explode_periods(j, {labels[0]: ["k_1"], labels[1]: ["k_2"]}, ["k"], label="products")
 
-    def w(c: str):
-        return F.sum(F.col("k") * _zero(c))
-
+    main, cart, ship, bill, ty = (
+        F.sum(F.col("k") * _zero(c)) for c in ("p_main", "p_cart", "p_shipping", "p_billing", "p_ty")
+    )
     return e.groupBy("products").agg(
-        w("p_main").alias("to_main"),
-        ratio(w("p_cart"), w("p_main")).alias("main_click_rate"),
-        w("p_cart").alias("to_cart"),
-        ratio(w("p_shipping"), w("p_cart")).alias("cart_click_rate"),
-        w("p_shipping").alias("to_shipping"),
-        ratio(w("p_billing"), w("p_shipping")).alias("shipping_click_rate"),
-        w("p_billing").alias("to_billing"),
-        ratio(w("p_ty"), w("p_billing")).alias("billing_click_rate"),
-        w("p_ty").alias("to_ty"),
+        main.alias("to_main"),
+        ratio(cart, main).alias("main_click_rate"),
+        cart.alias("to_cart"),
+        ratio(ship, cart).alias("cart_click_rate"),
+        ship.alias("to_shipping"),
+        ratio(bill, ship).alias("shipping_click_rate"),
+        bill.alias("to_billing"),
+        ratio(ty, bill).alias("billing_click_rate"),
+        ty.alias("to_ty"),
     )
 
 

@@ -34,10 +34,15 @@ def read_parquet_tables(spark: SparkSession, path: str) -> Tables:
     return Tables(**dfs).validate()
 
 
+def _qualified(spark: SparkSession, database: str | None, name: str) -> str:
+    # always qualify: an unqualified name would resolve to a temporary view of
+    # the same name first (see shoplens.sql.register_sql)
+    return f"{database or spark.catalog.currentDatabase()}.{name}"
+
+
 def read_catalog_tables(spark: SparkSession, database: str | None = None) -> Tables:
-    """Five tables registered in the session catalog."""
-    pre = f"{database}." if database else ""
-    return Tables(**{name: spark.table(pre + name) for name in TABLE_SCHEMAS}).validate()
+    """Five tables registered in the session catalog (current database by default)."""
+    return Tables(**{name: spark.table(_qualified(spark, database, name)) for name in TABLE_SCHEMAS}).validate()
 
 
 def from_driver_dir(spark: SparkSession, sf_dir: str) -> Tables:
@@ -73,7 +78,6 @@ def write_bucketed_tables(
     written by one task as one file (no tasks x buckets small files), and each
     bucket file is sorted by ``created_at`` so Parquet min/max statistics still
     skip row groups outside an analysis' time window."""
-    pre = f"{database}." if database else ""
     for name, df in tables.as_dict().items():
         key = BUCKET_KEYS[name]
         w = (
@@ -84,5 +88,5 @@ def write_bucketed_tables(
             .bucketBy(buckets, key)
             .sortBy("created_at" if "created_at" in df.columns else key)
         )
-        w.saveAsTable(pre + name)
+        w.saveAsTable(_qualified(spark, database, name))
     return read_catalog_tables(spark, database)

@@ -33,3 +33,15 @@ def test_sql_report_equals_dataframe_analysis(spark):
     )
     by_df = ops.traffic_source_trend(t, before="2015-01-01")
     assert sorted(by_sql.collect()) == sorted(by_df.collect())
+
+
+def test_catalog_tables_are_not_shadowed_by_views(spark, tmp_path):
+    from shoplens.sources import write_bucketed_tables
+
+    small = from_driver_dir(spark, SF_SMALL)
+    register_sql(spark, small)  # temp views with the table names
+    bt = write_bucketed_tables(spark, small, str(tmp_path / "t"), buckets=2, database=None)
+    plan = bt.P._jdf.queryExecution().executedPlan().toString()
+    assert f"spark_catalog.{spark.catalog.currentDatabase()}.website_pageviews" in plan
+    for name in small.as_dict():
+        spark.sql(f"DROP TABLE IF EXISTS {spark.catalog.currentDatabase()}.{name}")

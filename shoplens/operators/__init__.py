@@ -26,6 +26,7 @@ from shoplens.operators.product import (
 )
 from shoplens.operators.seasonality import hourly_weekday_pattern, monthly_seasonality
 from shoplens.operators.traffic import (
+    conversion,
     device_conversion,
     device_weekly_trend,
     top_traffic_sources,
@@ -42,6 +43,7 @@ from shoplens.operators.website import (
     billing_first_seen,
     billing_page_test,
     conversion_funnel_rates,
+    first_seen,
     home_bounce_rate,
     landing_page_test,
     landing_page_weekly_trend,
@@ -102,4 +104,7 @@ def run(name: str, tables: Tables, **params) -> DataFrame:
     return OPERATORS[name](tables, **params)
 
 
-__all__ = ["OPERATORS", "run", *OPERATORS]
+# general forms the analyses are built from (not part of the registry)
+GENERAL = {"conversion": conversion, "first_seen": first_seen}
+
+__all__ = ["OPERATORS", "GENERAL", "run", *OPERATORS, *GENERAL]

@@ -21,10 +21,19 @@ def top_traffic_sources(t: Tables, *, before: str = "2012-04-12", by: Sequence[s
     return s.groupBy(*by).agg(F.count(SID).alias("sessions")).orderBy(F.desc("sessions"))
 
 
-def _conversion(t: Tables, window, by: Sequence[str]) -> DataFrame:
-    s = t.S.filter(window).select(SID, *by)
-    o = order_facts(t.O)
-    j = s.join(o, SID, "left")
+def conversion(
+    t: Tables,
+    *,
+    by: Sequence[str],
+    after: str | None = None,
+    from_: str | None = None,
+    before: str | None = None,
+) -> DataFrame:
+    """Sessions, orders and session-to-order conversion per ``by`` for the
+    sessions started in the window; their orders count whenever placed.
+    Distinct counts: a session with two orders is one session, two orders."""
+    s = t.S.filter(in_range("created_at", after=after, from_=from_, before=before)).select(SID, *by)
+    j = s.join(order_facts(t.O), SID, "left")
     sessions, orders = F.count(SID), F.coalesce(F.sum("n_orders"), F.lit(0))
     return j.groupBy(*by).agg(
         sessions.alias("sessions"), orders.alias("orders"), ratio(orders, sessions).alias("conv_rate")
@@ -36,7 +45,7 @@ def traffic_conversion_rates(
 ) -> DataFrame:
     """Session-to-order conversion per source; orders placed after the bound
     still count (only sessions are filtered)."""
-    return _conversion(t, in_range("created_at", before=before), by).orderBy(F.desc("conv_rate"))
+    return conversion(t, by=by, before=before).orderBy(F.desc("conv_rate"))
 
 
 def traffic_source_trend(
@@ -56,7 +65,7 @@ def traffic_source_trend(
 
 def device_conversion(t: Tables, *, before: str = "2012-05-11") -> DataFrame:
     """Conversion per device type (all sources)."""
-    return _conversion(t, in_range("created_at", before=before), ["device_type"])
+    return conversion(t, by=["device_type"], before=before)
 
 
 def device_weekly_trend(

@@ -69,21 +69,24 @@ def home_bounce_rate(t: Tables, *, before: str = "2012-06-14", landing: str = HO
     )
 
 
-def _first_seen(t: Tables, url: str, names: tuple[str, str], *, not_null: bool) -> DataFrame:
+def first_seen(t: Tables, url: str, *, names: tuple[str, str] = ("first_created_at", "first_pv_id"),
+               dated_only: bool = False) -> DataFrame:
+    """One row: the earliest time and the lowest pageview id of ``url`` (two
+    independent minima).  ``dated_only`` skips views without a timestamp."""
     cond = F.col(URL) == url
-    if not_null:
+    if dated_only:
         cond = cond & F.col("created_at").isNotNull()
     return t.P.filter(cond).agg(F.min("created_at").alias(names[0]), F.min(PVID).alias(names[1]))
 
 
 def lander_first_seen(t: Tables, *, url: str = LANDER_1) -> DataFrame:
     """First time and first pageview id of ``url``."""
-    return _first_seen(t, url, ("frist_date_for_lander1", "first_pv_lander1"), not_null=True)
+    return first_seen(t, url, names=("frist_date_for_lander1", "first_pv_lander1"), dated_only=True)
 
 
 def billing_first_seen(t: Tables, *, url: str = BILLING_2) -> DataFrame:
     """First time and first pageview id of ``url``."""
-    return _first_seen(t, url, ("first_created_at", "first_pv_id"), not_null=False)
+    return first_seen(t, url)
 
 
 def _sessions_of(t: Tables, cond: Column) -> DataFrame:

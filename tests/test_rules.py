@@ -232,3 +232,23 @@ def test_funnel_with_custom_steps(make_tables):
     steps = {"l": "/lander-1", "p": "/products", "c": "/cart", "s": "/shipping"}
     (r,) = rows(ops.conversion_funnel_rates(t, steps=steps))
     assert r == {"total_session": 1, "p_rate": 1.0, "c_rate": 1.0, "s_rate": 0.0}
+
+
+def test_general_conversion_form(make_tables):
+    s = [
+        session_row(1, "2013-01-05 10:00:00", device="mobile"),
+        session_row(2, "2013-01-06 10:00:00", device="mobile"),
+        session_row(3, "2013-01-07 10:00:00", device="desktop"),
+    ]
+    o = [order_row(10, "2013-02-01 10:00:00", 2), order_row(11, "2013-02-02 10:00:00", 2)]
+    t = make_tables(website_sessions=s, orders=o)
+    out = {r["device_type"]: r for r in rows(ops.conversion(t, by=["device_type"], from_="2013-01-06"))}
+    assert out["mobile"]["sessions"] == 1 and out["mobile"]["orders"] == 2 and out["mobile"]["conv_rate"] == 2.0
+    assert out["desktop"]["orders"] == 0 and out["desktop"]["conv_rate"] == 0.0
+
+
+def test_general_first_seen_form(make_tables):
+    p = [pv_row(9, "2013-01-01 00:00:00", 1, "/cart"), pv_row(4, "2013-02-01 00:00:00", 2, "/cart")]
+    t = make_tables(website_pageviews=p)
+    (r,) = rows(ops.first_seen(t, "/cart"))
+    assert r["first_created_at"] == ts("2013-01-01 00:00:00") and r["first_pv_id"] == 4

@@ -40,8 +40,13 @@ def test_catalog_tables_are_not_shadowed_by_views(spark, tmp_path):
 
     small = from_driver_dir(spark, SF_SMALL)
     register_sql(spark, small)  # temp views with the table names
-    bt = write_bucketed_tables(spark, small, str(tmp_path / "t"), buckets=2, database=None)
-    plan = bt.P._jdf.queryExecution().executedPlan().toString()
-    assert f"spark_catalog.{spark.catalog.currentDatabase()}.website_pageviews" in plan
-    for name in small.as_dict():
-        spark.sql(f"DROP TABLE IF EXISTS {spark.catalog.currentDatabase()}.{name}")
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shoplens_shadow LOCATION '{tmp_path / 'db'}'")
+    spark.catalog.setCurrentDatabase("shoplens_shadow")
+    try:
+        bt = write_bucketed_tables(spark, small, str(tmp_path / "t"), buckets=2, database=None)
+        plan = bt.P._jdf.queryExecution().executedPlan().toString()
+        assert "spark_catalog.shoplens_shadow.website_pageviews" in plan
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql("DROP DATABASE IF EXISTS shoplens_shadow CASCADE")

@@ -2,6 +2,7 @@
 
 from shoplens.sources.fixture import derive_tables  # noqa: F401
 from shoplens.sources.tables import (  # noqa: F401
+    bucket_skew,
     from_driver_dir,
     read_catalog_tables,
     read_parquet_tables,

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoplens.model import TABLE_SCHEMAS, Tables
 from shoplens.sources.fixture import derive_tables
@@ -60,6 +61,19 @@ def write_parquet_tables(tables: Tables, path: str, *, mode: str = "errorifexist
         out.write.mode(mode).parquet(os.path.join(path, name))
 
 
+def bucket_skew(df: DataFrame, key: str, buckets: int) -> tuple[float, int]:
+    """How unevenly ``df`` would fill ``buckets`` buckets on ``key``:
+    ``(largest bucket / mean bucket, rows of the largest bucket)``.
+
+    The bucket id is the one Spark's bucketed writer uses
+    (``pmod(murmur3(key), buckets)``).  Spark counts rows per bucket with a
+    partially aggregated group-by; the driver receives one row."""
+    per_bucket = df.groupBy(F.pmod(F.hash(key), F.lit(buckets)).alias("bucket")).count()
+    row = per_bucket.agg(F.max("count").alias("top"), F.sum("count").alias("total")).first()
+    top, total = int(row["top"] or 0), int(row["total"] or 0)
+    return (top * buckets / total if total else 0.0), top
+
+
 def write_bucketed_tables(
     spark: SparkSession,
     tables: Tables,
@@ -68,6 +82,8 @@ def write_bucketed_tables(
     buckets: int,
     database: str | None = None,
     mode: str = "errorifexists",
+    max_skew: float = 4.0,
+    min_skewed_rows: int = 1 << 20,
 ) -> Tables:
     """Catalog tables at ``path``, bucketed with one bucket count: sessions,
     pageviews and orders by ``website_session_id``, items and refunds by
@@ -77,16 +93,29 @@ def write_bucketed_tables(
     Rows are hash-partitioned on the bucket key first, so each bucket is
     written by one task as one file (no tasks x buckets small files), and each
     bucket file is sorted by ``created_at`` so Parquet min/max statistics still
-    skip row groups outside an analysis' time window."""
+    skip row groups outside an analysis' time window.
+
+    A bucket is read by one task, so a hot session (pageviews and orders may
+    hold many rows per session) would make one task read its whole bucket.
+    Before writing, the bucket sizes are measured (``bucket_skew``); a table
+    whose largest bucket exceeds ``max_skew`` times the mean and
+    ``min_skewed_rows`` rows is stored unbucketed instead.  Its session-keyed
+    aggregates then run as on plain Parquet: partial aggregation per map task,
+    then a shuffle of one row per session per task, whatever the session's
+    size."""
     for name, df in tables.as_dict().items():
         key = BUCKET_KEYS[name]
-        w = (
-            df.repartition(buckets, key)
-            .write.mode(mode)
-            .format("parquet")
-            .option("path", os.path.join(path, name))
-            .bucketBy(buckets, key)
-            .sortBy("created_at" if "created_at" in df.columns else key)
-        )
-        w.saveAsTable(_qualified(spark, database, name))
+        time_sorted = "created_at" if "created_at" in df.columns else key
+        skew, top = bucket_skew(df, key, buckets)
+        if skew > max_skew and top > min_skewed_rows:
+            w = df.sortWithinPartitions(time_sorted).write.mode(mode).format("parquet")
+        else:
+            w = (
+                df.repartition(buckets, key)
+                .write.mode(mode)
+                .format("parquet")
+                .bucketBy(buckets, key)
+                .sortBy(time_sorted)
+            )
+        w.option("path", os.path.join(path, name)).saveAsTable(_qualified(spark, database, name))
     return read_catalog_tables(spark, database)

@@ -71,3 +71,21 @@ def test_hot_table_is_stored_unbucketed(spark, hot_tables, tmp_path):
             assert sorted(map(tuple, got)) == sorted(map(tuple, want)), name
     finally:
         spark.sql("DROP DATABASE IF EXISTS shoplens_hot CASCADE")
+
+
+def test_bucket_skew_uses_the_writers_bucket_ids(spark, hot_tables, tmp_path):
+    """The bucket id ``bucket_skew`` counts by is the one in the written file names."""
+    from pyspark.sql import functions as F
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shoplens_ids LOCATION '{tmp_path / 'db'}'")
+    try:
+        stored = write_bucketed_tables(spark, hot_tables, str(tmp_path / "t"), buckets=BUCKETS, database="shoplens_ids")
+        files = stored.S.select(
+            "website_session_id",
+            F.regexp_extract(F.input_file_name(), r"_(\d{5})(\.c\d+)?\.[^/]*$", 1).cast("int").alias("file_bucket"),
+            F.pmod(F.hash("website_session_id"), F.lit(BUCKETS)).alias("bucket"),
+        ).collect()
+        assert len(files) == 40
+        assert all(r["file_bucket"] == r["bucket"] for r in files)
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS shoplens_ids CASCADE")

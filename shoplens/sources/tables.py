@@ -108,7 +108,9 @@ def write_bucketed_tables(
         time_sorted = "created_at" if "created_at" in df.columns else key
         skew, top = bucket_skew(df, key, buckets)
         if skew > max_skew and top > min_skewed_rows:
-            w = df.sortWithinPartitions(time_sorted).write.mode(mode).format("parquet")
+            # rebalance: AQE cuts the rows into advisory-size files, splitting
+            # any partition the input's own layout made skewed
+            w = df.hint("rebalance").sortWithinPartitions(time_sorted).write.mode(mode).format("parquet")
         else:
             w = (
                 df.repartition(buckets, key)

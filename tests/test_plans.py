@@ -118,3 +118,20 @@ def test_no_multi_distinct_expand(stored, name):
     """Distinct counts are either single (top_pages) or replaced by key counts
     at their own grain, so no plan multiplies its input rows with Expand."""
     assert "Expand" not in plan_of(OPERATORS[name](stored))
+
+
+def test_distinct_sessions_per_url_spread_over_url_and_session(spark, stored):
+    """top_pages makes (URL, session) pairs distinct with an exchange on both
+    keys; only partial counts are then exchanged on the URL alone, so a page
+    seen by most sessions is not counted in one task."""
+    import re
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan_of(OPERATORS["top_pages"](stored))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert re.search(r"hashpartitioning\(pageview_url#\d+, website_session_id#\d+L?, \d+\)", p), p
+    by_url = p.split("Exchange hashpartitioning(pageview_url#")[1].split("Exchange")[0]
+    assert "partial_count(website_session_id" in by_url, p
+    assert "count(distinct" not in p

@@ -26,14 +26,14 @@ from shoplens.sources import (  # noqa: E402
 
 
 def summarize(plan: str) -> dict:
-    ex = re.findall(r"Exchange (\w+)\(([^,)]*)", plan)
+    ex = re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
     keys = []
     for kind, arg in ex:
-        if kind == "SinglePartition":
-            keys.append("single")
-        else:
-            col = re.sub(r"#\d+L?", "", arg).split(" ")[0]
-            keys.append(f"{kind.replace('partitioning', '')}:{col}")
+        parts = [a.strip() for a in arg.split(",")]
+        if parts and parts[-1].isdigit():  # the partition count
+            parts = parts[:-1]
+        cols = "+".join(re.sub(r"#\d+L?", "", a).split(" ")[0] for a in parts)
+        keys.append(f"{kind.replace('partitioning', '')}:{cols}")
     if "Exchange SinglePartition" in plan:
         keys += ["single"] * plan.count("Exchange SinglePartition")
     joins = sorted(set(re.findall(r"(SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin)", plan)))
@@ -70,7 +70,7 @@ def main(argv) -> None:
         "# Physical plans of the 34 analyses",
         "",
         "Generated by `python tools/plan_audit.py`. Broadcast joins and AQE are disabled so the plans show",
-        "what runs when every input is large. Exchange keys use `hash:` (hash partitioning), `range:`",
+        "what runs when every input is large. Exchange keys use `hash:` (hash partitioning, keys joined by `+`), `range:`",
         "(global sort) and `single` (final one-row aggregate). *pushed*: a time, URL or flag",
         "predicate reaches the Parquet scan. No plan contains a Python UDF or a cartesian/nested-loop join.",
         "",

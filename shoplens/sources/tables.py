@@ -15,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.model import TABLE_SCHEMAS, Tables
+from shoplens.model import PRIMARY_KEYS, TABLE_SCHEMAS, Tables
 from shoplens.sources.fixture import derive_tables
 
 # bucket key per table: the session key for the web tables and orders, the
@@ -74,6 +74,11 @@ def bucket_skew(df: DataFrame, key: str, buckets: int) -> tuple[float, int]:
     return (top * buckets / total if total else 0.0), top
 
 
+def _has_hot_bucket(df: DataFrame, key: str, buckets: int, max_skew: float, min_rows: int) -> bool:
+    skew, top = bucket_skew(df, key, buckets)
+    return skew > max_skew and top > min_rows
+
+
 def write_bucketed_tables(
     spark: SparkSession,
     tables: Tables,
@@ -97,27 +102,29 @@ def write_bucketed_tables(
 
     A bucket is read by one task, so a hot session (pageviews and orders may
     hold many rows per session) would make one task read its whole bucket.
-    Before writing, the bucket sizes are measured (``bucket_skew``); a table
-    whose largest bucket exceeds ``max_skew`` times the mean and
-    ``min_skewed_rows`` rows is stored unbucketed instead.  Its session-keyed
+    Before writing, the bucket sizes of every table not bucketed by its own
+    primary key are measured (``bucket_skew``); a table whose largest bucket
+    exceeds ``max_skew`` times the mean and ``min_skewed_rows`` rows is
+    stored unbucketed instead.  Its session-keyed
     aggregates then run as on plain Parquet: partial aggregation per map task,
     then a shuffle of one row per session per task, whatever the session's
     size."""
     for name, df in tables.as_dict().items():
         key = BUCKET_KEYS[name]
-        time_sorted = "created_at" if "created_at" in df.columns else key
-        skew, top = bucket_skew(df, key, buckets)
-        if skew > max_skew and top > min_skewed_rows:
+        sort_col = "created_at" if "created_at" in df.columns else key
+        # a table bucketed by its own primary key cannot have a hot bucket
+        hot = PRIMARY_KEYS.get(name) != key and _has_hot_bucket(df, key, buckets, max_skew, min_skewed_rows)
+        if hot:
             # rebalance: AQE cuts the rows into advisory-size files, splitting
             # any partition the input's own layout made skewed
-            w = df.hint("rebalance").sortWithinPartitions(time_sorted).write.mode(mode).format("parquet")
+            w = df.hint("rebalance").sortWithinPartitions(sort_col).write.mode(mode).format("parquet")
         else:
             w = (
                 df.repartition(buckets, key)
                 .write.mode(mode)
                 .format("parquet")
                 .bucketBy(buckets, key)
-                .sortBy(time_sorted)
+                .sortBy(sort_col)
             )
         w.option("path", os.path.join(path, name)).saveAsTable(_qualified(spark, database, name))
     return read_catalog_tables(spark, database)

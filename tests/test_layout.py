@@ -89,3 +89,8 @@ def test_bucket_skew_uses_the_writers_bucket_ids(spark, hot_tables, tmp_path):
         assert all(r["file_bucket"] == r["bucket"] for r in files)
     finally:
         spark.sql("DROP DATABASE IF EXISTS shoplens_ids CASCADE")
+
+
+def test_bucket_skew_of_an_empty_table(make_tables):
+    empty = make_tables()
+    assert bucket_skew(empty.P, "website_session_id", BUCKETS) == (0.0, 0)

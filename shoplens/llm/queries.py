@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import packing, secrets
+from shoplens.llm import packing, quality, secrets
 from shoplens.llm.common import documents
 
 
+def op1_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.quality(documents(spark, sf_dir), quality.trusted_ids(labels))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf_dir))
 
@@ -19,6 +24,7 @@ def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_quality": op1_ngram_quality,
     "op2_secret_scan": op2_secret_scan,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
 }

@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -53,9 +55,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of an Arrow batch for this session's Python stages."""
+    """Prepare a session for Python stages: bounded Arrow batches, and this package on the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        to = Path(tempfile.mkdtemp(prefix="llm-ship-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(to, "w") as out:
+            for f in sorted(package.rglob("*.py")):
+                out.write(f, f.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(to))  # Spark's own file server hands it to every executor
+        _shipped.add(app)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

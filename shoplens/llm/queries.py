@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import packing, quality, secrets
+from shoplens.llm import langid, packing, quality, secrets
 from shoplens.llm.common import documents
 
 
@@ -19,6 +19,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf_dir))
 
 
+def op8_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -26,6 +30,7 @@ def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_quality": op1_ngram_quality,
     "op2_secret_scan": op2_secret_scan,
+    "op8_unigram_language": op8_unigram_language,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
 }
 

@@ -1,0 +1,85 @@
+"""Summed segmentations against enumeration, expected counts, held-out accuracy and defined cases."""
+
+from __future__ import annotations
+
+import math
+import zlib
+
+import numpy as np
+import pytest
+
+from shoplens.llm import langid
+
+PIECES = ["▁", "▁a", "a", "b", "ab", "▁ab", "ba", "bab"]
+
+
+def _segmentations(word, at=0):
+    if at == len(word):
+        yield []
+    for j in range(at + 1, len(word) + 1):
+        if word[at:j] in PIECES or j == at + 1:
+            for rest in _segmentations(word, j):
+                yield [word[at:j], *rest]
+
+
+def _brute(word, probs):
+    """(total probability, expected uses of each piece) by listing every segmentation."""
+    total, uses = 0.0, np.zeros(len(PIECES))
+    for seg in _segmentations("▁" + word):
+        p = math.prod(probs[PIECES.index(s)] if s in PIECES else langid.UNSEEN for s in seg)
+        total += p
+        for s in seg:
+            if s in PIECES:
+                uses[PIECES.index(s)] += p
+    return total, uses / total
+
+
+@pytest.fixture(scope="module")
+def model():
+    probs = np.zeros((len(PIECES) + 1, 2))
+    probs[:-1] = np.random.default_rng(1).random((len(PIECES), 2)) / 10
+    return langid.PieceTable(PIECES), probs
+
+
+def test_forward_sums_all_segmentations(model):
+    table, probs = model
+    words = ["ab", "ba", "abab", "b", "bbabab", "abzab", "z"]
+    got = langid.word_logs(words, table, probs)
+    assert np.allclose(got, [[math.log(_brute(w, probs[:, k])[0]) for k in (0, 1)] for w in words])
+    assert np.isfinite(langid.word_logs(["ab" * 5000], table, probs)).all()
+
+
+def test_expected_counts(model):
+    table, probs = model
+    words, weights = ["ab", "bab", "abba", "az"], np.array([1.0, 2.0, 3.0, 4.0])
+    want = sum(n * _brute(w, probs[:, 1])[1] for w, n in zip(words, weights))
+    assert np.allclose(langid.expected_counts(words, weights, table, probs[:, 1]), want)
+
+
+def test_piece_table_on_the_public_vocabulary():
+    pieces = langid.default_vocabulary()
+    table, number = langid.PieceTable(pieces), {p: i for i, p in enumerate(pieces)}
+    word = "▁internationally"
+    ids = table.ids(langid._codes([word], len(word)))
+    for k, row in enumerate(ids):
+        assert row[0].tolist() == [number.get(word[s : s + k + 1], -1) for s in range(len(word) - k)]
+
+
+def test_held_out_accuracy_and_rejects(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = spark.createDataFrame([(900001, None), (900002, ""), (900003, "12 345 !?"), (900004, "9 " * 3000)], "doc_id long, text string").selectExpr("*", "'en' as lang", "'s' as source", "0L as n_chars")
+    rows = langid.identify(docs.unionByName(odd).selectExpr("*", "1 as score", "'x' as lang_pred")).collect()
+    assert len(rows) == docs.count() + 4
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1
+        if r.doc_id > 900000:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+    kept = [r for r in rows if r.held_out and r.doc_id < 900000]
+    assert sum(truth[r.doc_id] == r.lang_pred for r in kept) >= 0.9 * len(kept)
+
+
+def test_no_training_text_and_empty_table(spark, make_docs):
+    none = make_docs(["a word", None]).selectExpr("doc_id", "text", "cast(null as string) as lang")
+    assert {(r.lang_pred, r.score) for r in langid.identify(none).collect()} == {("und", 0.0)}
+    assert langid.identify(make_docs([])).count() == 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import langid, packing, quality, secrets
+from shoplens.llm import langid, packing, quality, resharding, secrets, warc
 from shoplens.llm.common import documents
 
 
@@ -19,6 +19,14 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf_dir))
 
 
+def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op5_min_cost_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharding.reshard_documents(documents(spark, sf_dir))
+
+
 def op8_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -30,6 +38,8 @@ def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_quality": op1_ngram_quality,
     "op2_secret_scan": op2_secret_scan,
+    "op4_warc_normaliser": op4_warc_normaliser,
+    "op5_min_cost_reshard": op5_min_cost_reshard,
     "op8_unigram_language": op8_unigram_language,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
 }

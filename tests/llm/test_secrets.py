@@ -118,7 +118,7 @@ def test_table(spark, make_docs):
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == x for k, _, _ in base) for x in ("assign", "access", "hex"))
         assert joined in r.spans
-    assert rows[3].n_decoded == 1 and rows[3].spans.startswith("assign:4:")
+    assert rows[3].n_decoded == 1 and rows[3].spans.startswith("assign:6:")
     assert s.scan_secrets(make_docs([])).count() == 0
 
 

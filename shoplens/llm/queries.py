@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplens.llm import langid, packing, quality, resharding, secrets, warc
+from shoplens.llm import chat, langid, packing, quality, resharding, secrets, warc
 from shoplens.llm.common import documents
 
 
@@ -31,6 +32,11 @@ def op8_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op9_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = chat.perspectives(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return views.withColumn("mask_spans", chat.mask_text(F.col("masks"))).drop("masks")
+
+
 def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -41,7 +47,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_normaliser": op4_warc_normaliser,
     "op5_min_cost_reshard": op5_min_cost_reshard,
     "op8_unigram_language": op8_unigram_language,
+    "op9_perspective_rotation": op9_perspective_rotation,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_perspective_rotation": chat.ORACLE_SQL}

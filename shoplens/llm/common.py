@@ -132,3 +132,78 @@ def batches_of(rows: Iterator, size: int) -> Iterator[list]:
             out = []
     if out:
         yield out
+
+
+def sorted_groups(batches: Iterator, key: int = 0) -> Iterator[list]:
+    """Columns (as pyarrow arrays) of each run of equal values in integer column ``key``; a run may span batches."""
+    import pyarrow as pa
+
+    held: list = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(key).to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(values[1:] != values[:-1]) + 1
+        bounds = [0, *edges.tolist(), len(values)]
+        for a, b in zip(bounds, bounds[1:]):
+            if held and values[a] != last:
+                yield _whole(pa, held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = values[a]
+    if held:
+        yield _whole(pa, held)
+
+
+def _whole(pa, parts: list) -> list:
+    if len(parts) == 1:
+        return parts[0].columns
+    return [c.combine_chunks() for c in pa.Table.from_batches(parts).columns]
+
+
+def local_labels(links: np.ndarray) -> np.ndarray:
+    """Connected components of a symmetric boolean matrix: the least index reachable from each index."""
+    n = len(links)
+    labels = np.full(n, -1)
+    for start in range(n):
+        if labels[start] >= 0:
+            continue
+        labels[start] = start
+        front = np.array([start])
+        while len(front):
+            front = np.flatnonzero(links[front].any(axis=0) & (labels < 0))
+            labels[front] = start
+    return labels
+
+
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """(node, label) of every node of ``edges`` (a, b): label is the least node of its component.
+
+    Alternating large-star and small-star rounds until the edges no longer
+    change.  Each round is stored; nodes and edges stay in Spark.
+    """
+
+    def ordered(df: DataFrame) -> DataFrame:
+        return df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
+
+    now = stored(ordered(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))), name)
+    mark = _mark(now)
+    while mark[0]:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
+        after = stored(ordered(small), name)
+        new = _mark(after)
+        now = after
+        if new == mark:
+            break
+        mark = new
+    return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+
+
+def _mark(edges: DataFrame) -> tuple[int, int]:
+    r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.shiftright(F.xxhash64("u", "v"), 24)).alias("h")).first()
+    return r.n, r.h or 0

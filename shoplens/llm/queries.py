@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, langid, packing, quality, resharding, secrets, warc
+from shoplens.llm import chat, jaccard, langid, packing, quality, resharding, secrets, warc
 from shoplens.llm.common import documents
 
 
@@ -20,6 +20,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf_dir))
 
 
+def op3_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_join(documents(spark, sf_dir))
+
+
 def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -44,6 +48,7 @@ def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_quality": op1_ngram_quality,
     "op2_secret_scan": op2_secret_scan,
+    "op3_chosen_path_join": op3_chosen_path_join,
     "op4_warc_normaliser": op4_warc_normaliser,
     "op5_min_cost_reshard": op5_min_cost_reshard,
     "op8_unigram_language": op8_unigram_language,

@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +26,8 @@ SIMILARITY = 0.8
 #: Rows per Arrow batch between Spark and Python: whole texts, so far fewer than Spark's 10,000.
 BATCH_ROWS = 500
 
-_WORD_CACHE_LIMIT = 400_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -81,25 +80,36 @@ def crc32_of(col) -> F.Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
 
 
-class _WordHashes(dict):
-    """64-bit hash of a word, remembered within one Python worker."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORD_CACHE_LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
-_hashes = _WordHashes()
+def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2^64, remembered within one Python worker."""
+    have = _powers[name]
+    if len(have) < n:
+        steps = np.full(max(n, 1 << 16), base, np.uint64)
+        steps[0] = 1
+        have = _powers[name] = np.multiply.accumulate(steps)
+    return have[:n]
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    """uint64 hash of each word of ``text``, in order."""
-    if not text:
-        return np.empty(0, np.uint64)
-    words = text.encode("utf-8", "surrogatepass").split()  # bytes.split() cuts at exactly the six characters
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    """uint64 hash of each word of ``text``, in order.
+
+    A polynomial hash of a word's UTF-8 bytes modulo 2^64: with prefix sums
+    over the text, all words are hashed at once.
+    """
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    n = len(data)
+    inside = np.zeros(n + 2, bool)
+    np.logical_not(_SPACE[data], out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edges[0::2], edges[1::2]
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTES[data] * _power("up", _MULT, n), out=sums[1:])
+    return mix((sums[end] - sums[start]) * _power("down", _INVERSE, n + 1)[start] + (end - start).astype(np.uint64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -109,6 +119,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: A random-looking number per byte value.
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64))
+
+
 def shingles(text: str | None, words: int = SHINGLE_WORDS) -> np.ndarray:
     """uint64 shingle hashes of ``text`` in order of position (repeats kept)."""
     h = word_hashes(text)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, containment, jaccard, langid, packing, quality, resharding, secrets, warc
+from shoplens.llm import chat, containment, jaccard, langid, packing, passages, quality, resharding, secrets, warc
 from shoplens.llm.common import documents
 
 
@@ -36,6 +36,10 @@ def op6_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.duplicate_passages(documents(spark, sf_dir))
+
+
 def op8_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_normaliser": op4_warc_normaliser,
     "op5_min_cost_reshard": op5_min_cost_reshard,
     "op6_benchmark_containment": op6_benchmark_containment,
+    "op7_compact_windows": op7_compact_windows,
     "op8_unigram_language": op8_unigram_language,
     "op9_perspective_rotation": op9_perspective_rotation,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,

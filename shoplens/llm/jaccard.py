@@ -243,11 +243,11 @@ def verified(candidates: DataFrame, sets: DataFrame, docs: DataFrame, similarity
 
 
 def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, recall: float = RECALL, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
-    """(doc_id, class_id, n_links, n_copies): one row per input row.
+    """(doc_id, class_id, n_links, n_copies, text_key): one row per input row.
 
     ``n_links`` counts the other texts that the row's text is linked with,
     ``n_copies`` the rows of its shingle set, ``class_id`` the connected
-    component of links.
+    component of links, ``text_key`` the text's MD5.
     """
     rows = stored(signatures(docs, id_col, text_col), "signatures")
     texts = rows.filter("n is not null").groupBy("set_key", "text_key").agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"))
@@ -262,5 +262,18 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = classes.groupBy("label").agg(F.min("least_id").alias("class_id"))
     classes = classes.join(least, "label").join(links.withColumnRenamed("a", "set_key"), "set_key", "left")
     classes = classes.select("set_key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("n_texts") - 1).alias("n_links"), "n_copies")
-    out = rows.select("doc_id", "set_key").join(classes, "set_key", "left")
-    return out.select("doc_id", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
+    out = rows.select("doc_id", "text_key", "set_key").join(classes, "set_key", "left")
+    return out.select("doc_id", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), "text_key")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that are the least document of their class, as they are.
+
+    Of repeated rows (equal id and text) one stays.  Rows without an id cannot
+    be told apart by it: they stay but for equal texts, unless their class has
+    a row with an id.
+    """
+    classes = similarity_join(docs, id_col, text_col, similarity)
+    stay = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    kept = docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (text_key(F.col(text_col)) == F.col("_key")), "left_semi")
+    return kept.dropDuplicates([id_col, text_col])

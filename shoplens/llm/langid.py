@@ -38,6 +38,8 @@ UNKNOWN = "und"
 #: Bound on the sampled training documents of each language.
 MAX_TRAIN = 800
 ITERATIONS = 2
+#: Least posterior of a text that a filter keeps.
+MIN_SCORE = 0.5
 #: Pseudo-count of every piece and the probability of a letter outside the vocabulary.
 SMOOTHING, UNSEEN = 0.05, 1e-9
 
@@ -291,6 +293,22 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, with a posterior of at least ``min_score``, as they are."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast((model.langs, model.pieces, model.probs))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(Model(*shared.value))
+        for batch in batches:
+            langs, scores = scorer(batch.column(at).to_pylist())
+            yield batch.filter(pa.array([g != UNKNOWN and s >= min_score for g, s in zip(langs, scores)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: Column) -> Column:
     """Documents kept out of training: CRC-32 of the id's text leaves 2 modulo 4."""
     return F.pmod(crc32_of(id_col), F.lit(4)) == 2

@@ -21,7 +21,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similarity_join(documents(spark, sf_dir))
+    return jaccard.similarity_join(documents(spark, sf_dir)).drop("text_key")
 
 
 def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from shoplens.functions.exprs import (  # noqa: F401
     count_if,
     date_in_range,
     in_range,
+    named_urls,
     ratio,
     round_half_up_avg,
     sum_if,

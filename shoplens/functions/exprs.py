@@ -6,7 +6,8 @@ whole-stage codegen; nothing is evaluated in Python.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,6 +33,18 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(col(num).cast("double"), col(den).cast("double"))
 
 
+def named_urls(urls: Mapping[str, str] | Sequence[str], known: Mapping[str, str]) -> dict[str, str]:
+    """``{name: url}`` in the given order.  A mapping is taken as it is; in a
+    plain list a URL has its name in ``known``, else one made from its path."""
+    if isinstance(urls, Mapping):
+        return dict(urls)
+    by_url = {u: n for n, u in known.items()}
+    named = {by_url.get(u) or re.sub(r"\W+", "_", u.strip("/")).lower() or "root": u for u in urls}
+    if len(named) < len(urls):
+        raise ValueError(f"URLs without a name of their own: {list(urls)}")
+    return named
+
+
 def sunday_week(ts: str | Column) -> Column:
     """Week of the year, Sunday-first, 0..53; week 1 starts on the first
     Sunday of the year (days before it are week 0).  This is the classic
@@ -126,8 +139,8 @@ def channel_group(
 
 
 def round_half_up_avg(value: str | Column, digits: int) -> Column:
-    """``round(avg(value), digits)`` computed exactly: the average of an
-    integer column is taken as a decimal (scale 4) and rounded half-up, so
-    ties such as 1.15 never depend on binary floating point."""
+    """``round(avg(value), digits)`` by the rule of the original SQL engine: the
+    average of integers is a decimal of four places, rounded half-up, which is
+    then rounded half-up again.  (So 0.04996 becomes 0.0500 and then 0.1.)"""
     avg_dec = F.avg(col(value).cast("decimal(20,0)"))
     return F.round(avg_dec, digits).cast("double")

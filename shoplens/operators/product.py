@@ -3,12 +3,12 @@ portfolio expansion and refund rates."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions import count_if, in_range, ratio, sum_if
+from shoplens.functions import count_if, in_range, named_urls, ratio, sum_if
 from shoplens.model import Tables
 from shoplens.plans.session_facts import (
     SID,
@@ -16,13 +16,14 @@ from shoplens.plans.session_facts import (
     explode_periods,
     left_join_weight,
     order_facts,
-    url_counts,
 )
 
-# Product page paths and funnel pages.
+# Product page paths and funnel pages, and the short names of the products.
 MR_FUZZY = "/the-original-mr-fuzzy"
 LOVE_BEAR = "/the-forever-love-bear"
 PRODUCT_URLS = (MR_FUZZY, LOVE_BEAR)
+PATH_NAMES = {"mrfuzzy": MR_FUZZY, "flovebear": LOVE_BEAR}
+FUNNEL_NAMES = {"the_omf": MR_FUZZY, "the_flb": LOVE_BEAR}
 PRODUCTS = "/products"
 CART = "/cart"
 SHIPPING = "/shipping"
@@ -61,6 +62,11 @@ def product_launch(
     )
 
 
+def _joined_count(cond: Column) -> Column:
+    """Views that a join on the session id can reach: those with a session."""
+    return F.count(F.when(cond & F.col(SID).isNotNull(), 1))
+
+
 def product_pathing(
     t: Tables,
     *,
@@ -68,58 +74,64 @@ def product_pathing(
     before: str = "2013-04-06",
     split: str = "2013-01-06",
     from_url: str = PRODUCTS,
-    to_urls: Sequence[str] = PRODUCT_URLS,
+    to_urls: Mapping[str, str] | Sequence[str] = PRODUCT_URLS,
     labels: tuple[str, str] = ("A_Pre_Product2", "B_Post_Product2"),
 ) -> DataFrame:
-    """Click-through from ``from_url`` to the product pages before and after
-    ``split``.  As in a plain self-join, every ``from_url`` view of a session
-    is paired with every product-page view of that session (any time), so
-    ``to_mrfuzzy`` counts pairs while ``product_to_nextpg`` counts distinct
-    product-page views."""
-    ts, s = F.col("created_at"), F.lit(split).cast("timestamp_ntz")
-    views = (
-        t.P.filter(in_range("created_at", after=after, before=before) & (F.col(URL) == from_url))
+    """Click-through from ``from_url`` to any number of product pages before
+    and after ``split``.  As in a plain self-join, every ``from_url`` view of a
+    session is paired with every product-page view of that session (any time),
+    so ``to_<name>`` counts pairs while ``product_to_nextpg`` counts distinct
+    product-page views.
+
+    One pass: a single grouped aggregate per session holds the windowed
+    ``from_url`` views of both periods and the undated product views."""
+    ts, s, url = F.col("created_at"), F.lit(split).cast("timestamp_ntz"), F.col(URL)
+    targets = named_urls(to_urls, PATH_NAMES)
+    start = in_range("created_at", after=after, before=before) & (url == from_url)
+    per_session = (
+        t.P.filter(url.isin(from_url, *targets.values()))
         .groupBy(SID)
         .agg(
-            F.count(F.when(ts < s, 1)).alias("k_a"),
-            F.count(F.when(ts >= s, 1)).alias("k_b"),
-            F.count(F.when(ts.isNull(), 1)).alias("k_c"),
+            F.count(F.when(start & (ts < s), 1)).alias("k_a"),
+            F.count(F.when(start & (ts >= s), 1)).alias("k_b"),
+            *[_joined_count(url == u).alias(f"m_{name}") for name, u in targets.items()],
         )
     )
-    first, second = to_urls[0], to_urls[1]
-    targets = url_counts(t.P, {"m_1": first, "m_2": second})
-    j = views.join(targets, SID, "left")
-    e = explode_periods(j, {labels[0]: ["k_a"], labels[1]: ["k_b"], "Check logic": ["k_c"]}, ["k"])
-    m1, m2 = _zero("m_1"), _zero("m_2")
-    nextpg = F.sum(m1 + m2)
-    to_1 = F.sum(F.col("k") * m1)
-    to_2 = F.sum(F.col("k") * m2)
+    e = explode_periods(per_session, {labels[0]: ["k_a"], labels[1]: ["k_b"]}, ["k"])
+    views = {name: F.col(f"m_{name}") for name in targets}
+    nextpg = F.sum(sum(views.values(), F.lit(0)))
+    cols = []
+    for name, m in views.items():
+        pairs = F.sum(F.col("k") * m)
+        cols += [pairs.alias(f"to_{name}"), ratio(pairs, nextpg).alias(f"pct_to_{name}")]
     return e.groupBy("time_period").agg(
         F.count(SID).alias("sessions"),
         nextpg.alias("product_to_nextpg"),
         ratio(nextpg, F.count(SID)).alias("pct_to_nextpg"),
-        to_1.alias("to_mrfuzzy"),
-        ratio(to_1, nextpg).alias("pct_to_mrfuzzy"),
-        to_2.alias("to_flovebear"),
-        ratio(to_2, nextpg).alias("pct_to_flovebear"),
+        *cols,
     )
 
 
-def _product_view_sessions(t: Tables, after: str, before: str, product_urls: Sequence[str]) -> DataFrame:
-    return t.P.filter(in_range("created_at", after=after, before=before) & F.col(URL).isin(*product_urls))
-
-
 def product_funnel_pages(
     t: Tables, *, after: str = "2013-01-06", before: str = "2014-04-10", product_urls: Sequence[str] = PRODUCT_URLS
 ) -> DataFrame:
     """Distinct URLs seen in sessions that viewed a product page in the window.
+    As in a left join, product views without a session id add a NULL URL.
 
-    The session set is made distinct first: its partial aggregate runs before
-    the session-key exchange the semi-join needs anyway, so a session's
-    repeated product views ship as one row, and the smaller set is more
-    likely to be broadcast (no shuffle of pageviews at all)."""
-    sess = _product_view_sessions(t, after, before, product_urls).select(SID).distinct()
-    return t.P.select(SID, URL).join(sess, SID, "left_semi").select(URL).distinct()
+    One pass: each session keeps its set of URLs and whether it qualifies.  Both
+    are partially aggregated before the exchange, so a hot session ships its
+    distinct URLs once per map task and is bounded by the site's pages, not by
+    its views."""
+    url = F.col(URL)
+    viewed = in_range("created_at", after=after, before=before) & url.isin(*product_urls)
+    per_session = t.P.groupBy(SID).agg(
+        F.collect_set(url).alias("urls"),
+        F.max(F.when(viewed, 1)).alias("viewed"),
+        F.max(F.when(url.isNull(), 1)).alias("unnamed"),
+    )
+    none = F.array(F.lit(None).cast("string"))
+    pages = F.when(F.col(SID).isNull(), none).when(F.col("unnamed") == 1, F.concat("urls", none)).otherwise(F.col("urls"))
+    return per_session.filter(F.col("viewed") == 1).select(F.explode(pages).alias(URL)).distinct()
 
 
 def product_funnels(
@@ -127,37 +139,33 @@ def product_funnels(
     *,
     after: str = "2013-01-06",
     before: str = "2014-04-10",
-    product_urls: Sequence[str] = PRODUCT_URLS,
+    product_urls: Mapping[str, str] | Sequence[str] = PRODUCT_URLS,
     billing_url: str = BILLING_2,
-    labels: tuple[str, str] = ("the_omf", "the_flb"),
 ) -> DataFrame:
-    """Funnel from each product page to the thank-you page.  Each product
-    view of a session repeats all of the session's step counts (one joined
-    row per view), so the sums are weighted by the number of views ``k``."""
-    first_url = product_urls[0]
-    views = (
-        _product_view_sessions(t, after, before, product_urls)
+    """Funnel from each of any number of product pages to the thank-you page.
+    Each product view of a session repeats all of the session's step counts
+    (one joined row per view), so the sums are weighted by the number of views
+    ``k``.
+
+    One pass: a single grouped aggregate per session holds the windowed views
+    per product and the undated step counts."""
+    products = named_urls(product_urls, FUNNEL_NAMES)
+    url = F.col(URL)
+    window = in_range("created_at", after=after, before=before)
+    steps = {"p_cart": CART, "p_shipping": SHIPPING, "p_billing": billing_url, "p_ty": THANK_YOU}
+    per_session = (
+        t.P.filter(url.isin(*products.values(), *steps.values()))
         .groupBy(SID)
         .agg(
-            F.count(F.when(F.col(URL) == first_url, 1)).alias("k_1"),
-            F.count(F.when(F.col(URL) != first_url, 1)).alias("k_2"),
+            *[F.count(F.when(window & (url == u), 1)).alias(f"k_{i}") for i, u in enumerate(products.values())],
+            _joined_count(url.isin(*products.values())).alias("p_main"),
+            *[_joined_count(url == u).alias(name) for name, u in steps.items()],
         )
     )
-    steps = url_counts(
-        t.P,
-        {
-            "p_main": list(product_urls),
-            "p_cart": CART,
-            "p_shipping": SHIPPING,
-            "p_billing": billing_url,
-            "p_ty": THANK_YOU,
-        },
-    )
-    j = views.join(steps, SID, "left")
-    e = explode_periods(j, {labels[0]: ["k_1"], labels[1]: ["k_2"]}, ["k"], label="products")
-
+    periods = {name: [f"k_{i}"] for i, name in enumerate(products)}
+    e = explode_periods(per_session, periods, ["k"], label="products")
     main, cart, ship, bill, ty = (
-        F.sum(F.col("k") * _zero(c)) for c in ("p_main", "p_cart", "p_shipping", "p_billing", "p_ty")
+        F.sum(F.col("k") * F.col(c)) for c in ("p_main", "p_cart", "p_shipping", "p_billing", "p_ty")
     )
     return e.groupBy("products").agg(
         main.alias("to_main"),
@@ -177,7 +185,8 @@ def cross_sell(
 ) -> DataFrame:
     """Cart click-through and order value before/after ``split`` (``<=`` is
     "pre").  A session's cart/shipping views per period are joined to all of
-    its orders, so sessions with several orders weigh several times."""
+    its orders, so sessions with several orders weigh several times.  Views
+    without a session id are not counted."""
     ts, s = F.col("created_at"), F.lit(split).cast("timestamp_ntz")
     pre, post = ts <= s, ~(ts <= s)
     url = F.col(URL)
@@ -186,11 +195,11 @@ def cross_sell(
         .groupBy(SID)
         .agg(
             F.count(F.when(pre, 1)).alias("n_pre"),
-            F.count(F.when(pre & (url == CART), 1)).alias("cart_pre"),
-            F.count(F.when(pre & (url == SHIPPING), 1)).alias("ship_pre"),
+            F.count(F.when(pre & (url == CART), F.col(SID))).alias("cart_pre"),
+            F.count(F.when(pre & (url == SHIPPING), F.col(SID))).alias("ship_pre"),
             F.count(F.when(post, 1)).alias("n_post"),
-            F.count(F.when(post & (url == CART), 1)).alias("cart_post"),
-            F.count(F.when(post & (url == SHIPPING), 1)).alias("ship_post"),
+            F.count(F.when(post & (url == CART), F.col(SID))).alias("cart_post"),
+            F.count(F.when(post & (url == SHIPPING), F.col(SID))).alias("ship_post"),
         )
     )
     j = v.join(order_facts(t.O), SID, "left")
@@ -227,7 +236,8 @@ def portfolio_expansion(
     )
     j = v.join(order_facts(t.O), SID, "left")
     e = explode_periods(j, {"pre_change": ["n_pre"], "post_change": ["n_post"]}, ["n"])
-    rows = F.sum(left_join_weight())
+    # rows are counted by session id: those without one keep their period but count 0
+    rows = F.sum(F.when(F.col(SID).isNull(), 0).otherwise(left_join_weight()))
     n_orders = F.sum(_zero("n_orders"))
     return e.groupBy("time_period").agg(
         ratio(n_orders, rows).alias("conv_rate"),

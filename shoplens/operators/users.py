@@ -23,21 +23,27 @@ def repeat_interval(t: Tables, *, from_: str = "2014-01-01", before: str = "2014
     """Days from a user's new session to their first repeat session, both in
     the window: max, min and average over (user, new session) pairs.
 
-    Both sides are reduced to one row per user before the join: for the new
-    sessions the count and the min/max/sum of their day numbers.  With ``s``
-    the repeat day, the pair gaps ``s - d`` then give ``max = s - min(d)``,
-    ``min = s - max(d)`` and ``sum = n*s - sum(d)`` exactly (integers), so a
-    user with many sessions is one row and the join is one-to-one."""
-    win = in_range("created_at", from_=from_, before=before)
-    rep = F.col("is_repeat_session")
+    One pass: a single grouped aggregate per user holds the first repeat day
+    ``s`` and, of the new sessions' days ``d``, count, min, max and sum.  The
+    pair gaps ``s - d`` then give ``max = s - min(d)``, ``min = s - max(d)`` and
+    ``sum = n*s - sum(d)`` exactly (integers)."""
     day = F.unix_date(F.to_date("created_at"))
-    second = t.S.filter(win & (rep == 1)).groupBy("user_id").agg(F.min(day).alias("s"))
-    first = t.S.filter(win & (rep == 0)).groupBy("user_id").agg(
-        F.count(day).alias("n"), F.min(day).alias("d_min"), F.max(day).alias("d_max"), F.sum(day).alias("d_sum")
+    new = F.when(F.col("is_repeat_session") == 0, day)
+    again = F.when(F.col("is_repeat_session") == 1, day)
+    per_user = (
+        t.S.filter(in_range("created_at", from_=from_, before=before) & F.col("user_id").isNotNull())
+        .groupBy("user_id")
+        .agg(
+            F.min(again).alias("s"),
+            F.count(new).alias("n"),
+            F.min(new).alias("d_min"),
+            F.max(new).alias("d_max"),
+            F.sum(new).alias("d_sum"),
+        )
+        .filter(F.col("s").isNotNull() & (F.col("n") > 0))
     )
-    j = second.join(first, "user_id")
     s = F.col("s")
-    return j.agg(
+    return per_user.agg(
         F.max(s - F.col("d_min")).cast("int").alias("max_days"),
         F.min(s - F.col("d_max")).cast("int").alias("min_days"),
         ratio(F.sum(F.col("n") * s - F.col("d_sum")), F.sum("n")).alias("avg_days"),

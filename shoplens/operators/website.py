@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions import count_if, date_in_range, in_range, ratio, sunday_week
+from shoplens.functions import count_if, date_in_range, in_range, named_urls, ratio, sunday_week
 from shoplens.model import Tables
 from shoplens.plans.session_facts import (
     PVID,
@@ -32,6 +32,8 @@ BILLING = "/billing"
 BILLING_2 = "/billing-2"
 THANK_YOU = "/thank-you-for-your-order"
 
+LANDING_NAMES = {"home_num": HOME, "lander_1_num": LANDER_1}
+
 CLICK_STEPS: dict[str, str] = {
     "lander_click": LANDER_1,
     "products_click": PRODUCTS,
@@ -67,10 +69,19 @@ def _bounce_flag(sessions: DataFrame, t: Tables) -> DataFrame:
 
 
 def home_bounce_rate(t: Tables, *, before: str = "2012-06-14", landing: str = HOME) -> DataFrame:
-    """Bounce rate of sessions landing on ``landing`` (one row)."""
-    first = first_views(t.P.filter(in_range("created_at", before=before)), landings=[landing])
-    landed = _bounce_flag(first.filter(F.col("landing_page") == landing).select(SID), t)
-    total, bounces = F.count(SID), F.sum("bounce_or_not").cast("long")
+    """Bounce rate of sessions landing on ``landing`` (one row).
+
+    One pass: a single grouped aggregate per session holds whether its lowest
+    windowed pageview id is a view of ``landing``, and its undated view count."""
+    windowed = F.when(in_range("created_at", before=before), F.col(PVID))
+    is_landing = F.when(F.col(URL) == landing, 1).otherwise(0)
+    landed = (
+        t.P.filter(F.col(SID).isNotNull())
+        .groupBy(SID)
+        .agg(F.min_by(is_landing, windowed).alias("landed"), F.count(PVID).alias("n_views"))
+        .filter(F.col("landed") == 1)
+    )
+    total, bounces = F.count(SID), F.sum(F.when(F.col("n_views") == 1, 1).otherwise(0)).cast("long")
     return landed.agg(
         total.alias("total_sessions"), bounces.alias("bounce_number"), ratio(bounces, total).alias("bounce_rate")
     )
@@ -129,37 +140,52 @@ def landing_page_weekly_trend(
     before_date: str = "2012-08-31",
     source: str = "gsearch",
     campaign: str = "nonbrand",
-    landings: Sequence[str] = (HOME, LANDER_1),
+    landings: Mapping[str, str] | Sequence[str] = (HOME, LANDER_1),
 ) -> DataFrame:
-    """Weekly bounce rate and landing-page mix for one source/campaign.
+    """Weekly bounce rate and landing-page mix for one source/campaign, with a
+    column per landing page (named by a mapping, or after its path).
     Both end days are excluded (``date > after`` and ``date < before``)."""
+    pages = named_urls(landings, LANDING_NAMES)
     pw = t.P.filter(date_in_range("created_at", after=after_date, before=before_date))
-    first = first_views(pw, F.min(F.to_date("created_at")).alias("created_date"), landings=landings).join(
+    first = first_views(pw, F.min(F.to_date("created_at")).alias("created_date"), landings=list(pages.values())).join(
         _sessions_of(t, (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)), SID
     )
     b = _bounce_flag(first.select(SID, "landing_page", "created_date"), t)
-    home, lander = landings[0], landings[1]
     return b.groupBy(sunday_week("created_date").alias("week_num")).agg(
         F.min("created_date").alias("start_date"),
         F.count(SID).alias("total_sessions"),
         F.sum("bounce_or_not").cast("long").alias("bounce_num"),
         ratio(F.sum("bounce_or_not"), F.count(SID)).alias("bounce_rate"),
-        count_if(F.col("landing_page") == home, "landing_page").alias("home_num"),
-        count_if(F.col("landing_page") == lander, "landing_page").alias("lander_1_num"),
+        *[count_if(F.col("landing_page") == u, "landing_page").alias(name) for name, u in pages.items()],
     )
 
 
+def _funnel_steps(landing: str | None, steps: Mapping[str, str] | None) -> tuple[str, dict[str, str]]:
+    """The landing page and the steps of a funnel, which go together: with
+    default steps the first one is the landing page, with own steps the landing
+    page is the first one unless another of them is named."""
+    if steps is None:
+        landing = landing or LANDER_1
+        first = next(iter(CLICK_STEPS))
+        return landing, CLICK_STEPS | {first: landing}
+    landing = landing or next(iter(steps.values()))
+    if landing not in steps.values():
+        raise ValueError(f"the landing page {landing!r} is not among the steps")
+    return landing, dict(steps)
+
+
 def session_click_funnel(
     t: Tables,
     *,
     after: str = "2012-08-05",
     before: str = "2012-09-05",
     source: str = "gsearch",
-    landing: str = LANDER_1,
-    steps: Mapping[str, str] = CLICK_STEPS,
+    landing: str | None = None,
+    steps: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Per session that landed on ``landing``: number of views of each
     funnel page (views, not 0/1 flags; pageviews are not date-bounded)."""
+    landing, steps = _funnel_steps(landing, steps)
     pw = t.P.filter(in_range("created_at", after=after, before=before))
     first = first_views(pw, landings=[landing]).join(_sessions_of(t, F.col("utm_source") == source), SID)
     landed = first.filter(F.col("landing_page") == landing).select(SID)
@@ -186,7 +212,7 @@ def conversion_funnel_rates(t: Tables, **kw) -> DataFrame:
     Takes the parameters of ``session_click_funnel``.  With the default steps
     the rates carry the report's names; with other steps each rate is named
     ``<step>_rate`` after the step it leads to."""
-    steps = kw.get("steps", CLICK_STEPS)
+    _, steps = _funnel_steps(kw.get("landing"), kw.get("steps"))
     names = list(steps)
     per = session_click_funnel(t, **kw)
     sums = [F.sum(n) for n in names]
@@ -206,11 +232,15 @@ def billing_page_test(
     before: str = "2012-11-10",
     min_pageview_id: int | None = None,
     urls: Sequence[str] = (BILLING, BILLING_2),
-    new_url: str = BILLING_2,
+    new_url: str | None = None,
 ) -> DataFrame:
     """Billing-page version vs order rate.  By default the id threshold is
-    the first pageview id of the new version (a scalar subquery, evaluated
-    once by Spark), so the test only covers the period both versions ran."""
+    the first pageview id of the new version (the last of ``urls``; a scalar
+    subquery, evaluated once by Spark), so the test only covers the period both
+    versions ran."""
+    new_url = new_url or urls[-1]
+    if new_url not in urls:
+        raise ValueError(f"the new version {new_url!r} is not among the pages tested")
     if min_pageview_id is None:
         threshold = t.P.filter(F.col(URL) == new_url).agg(F.min(PVID)).scalar()
     else:

@@ -37,7 +37,7 @@ def test_no_python_and_no_cartesian(stored, name):
 
 @pytest.mark.parametrize(
     "name",
-    ["top_traffic_sources", "top_pages", "home_bounce_rate", "product_funnels", "cross_sell", "product_sales",
+    ["top_traffic_sources", "top_pages", "top_entry_pages", "cross_sell", "portfolio_expansion", "product_sales",
      "product_refund_rates", "repeat_visitors"],
 )
 def test_time_filter_pushed_to_scan(stored, name):
@@ -83,14 +83,7 @@ def test_bucketed_layout_needs_no_session_shuffle(spark, bucketed, name):
     assert "hashpartitioning(website_session_id" not in p, p
 
 
-# product_funnel_pages semi-joins (session, url) rows to the session set; the
-# next step is a distinct on the URL, which needs a new exchange anyway, so
-# AQE's skew-join split can divide a hot session's rows, and when the session
-# set is small the semi-join is a broadcast with no shuffle of pageviews.
-ROW_LEVEL_SEMI_JOIN = {"product_funnel_pages"}
-
-
-@pytest.mark.parametrize("name", sorted(set(OPERATORS) - ROW_LEVEL_SEMI_JOIN))
+@pytest.mark.parametrize("name", sorted(OPERATORS))
 def test_fact_tables_are_pre_aggregated_before_the_session_shuffle(spark, stored, name):
     """Every exchange on the session key carries either partial aggregates
     (one row per session per map task, whatever the session's size) or rows
@@ -137,3 +130,18 @@ def test_distinct_sessions_per_url_spread_over_url_and_session(spark, stored):
     by_url = p.split("Exchange hashpartitioning(pageview_url#")[1].split("Exchange")[0]
     assert "partial_count(website_session_id" in by_url, p
     assert "count(distinct" not in p
+
+
+@pytest.mark.parametrize(
+    "name", ["product_pathing", "product_funnels", "product_funnel_pages", "home_bounce_rate", "repeat_interval"]
+)
+def test_single_pass(spark, stored, name):
+    """One scan of one fact table, one grouped aggregate, no join."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan_of(OPERATORS[name](stored))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert p.count("FileScan") == 1 and "Join" not in p, p
+    key = "user_id" if name == "repeat_interval" else "website_session_id"
+    assert p.count(f"hashpartitioning({key}") == 1, p

@@ -54,7 +54,8 @@ def random_rows(seed: int, n_sessions: int = 1500):
                 url = None
             if rnd.random() < 0.01:
                 t = None  # undated views still count in the per-session totals
-            views.append((pvids.pop(), t, sid, url))
+            # a few pageviews belong to no session
+            views.append((pvids.pop(), t, None if rnd.random() < 0.02 else sid, url))
         for _ in range(rnd.choice([0, 0, 0, 1, 1, 2, 3])):
             n_items = rnd.randint(1, 3)
             price = Decimal(rnd.randrange(1000, 9000)) / 100

@@ -77,6 +77,13 @@ PRIMARY_KEYS = {
 }
 
 
+_KINDS = (T.IntegralType, T.DecimalType, T.StringType, (T.TimestampType, T.TimestampNTZType))
+
+
+def _compatible(have: T.DataType, want: T.DataType) -> bool:
+    return have == want or any(isinstance(have, k) and isinstance(want, k) for k in _KINDS)
+
+
 @dataclass(frozen=True)
 class Tables:
     """The five related tables every analysis reads."""
@@ -124,10 +131,15 @@ class Tables:
         return out
 
     def validate(self) -> "Tables":
-        """Check that every required column is present with a compatible type."""
+        """Check that every required column is present with a compatible type:
+        the schema's own, or one of the same kind (any integer for an integer,
+        any decimal for a decimal, a timestamp with or without time zone)."""
         for name, df in self.as_dict().items():
             have = {f.name: f.dataType for f in df.schema.fields}
             for want in TABLE_SCHEMAS[name].fields:
                 if want.name not in have:
                     raise ValueError(f"{name}: missing column {want.name!r}")
+                if not _compatible(have[want.name], want.dataType):
+                    found = have[want.name].simpleString()
+                    raise ValueError(f"{name}.{want.name}: type {found}, expected {want.dataType.simpleString()}")
         return self

@@ -201,4 +201,4 @@ def derive_tables(events: DataFrame, part: DataFrame, *, chunk_size: int = DEFAU
         "order_item_id", "order_id"
     )
 
-    return Tables(website_sessions, website_pageviews, orders, order_items, order_item_refunds)
+    return Tables(website_sessions, website_pageviews, orders, order_items, order_item_refunds).validate()

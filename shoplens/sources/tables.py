@@ -11,11 +11,12 @@ aggregations of the analyses read co-partitioned data without a shuffle.
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.model import PRIMARY_KEYS, TABLE_SCHEMAS, Tables
+from shoplens.model import TABLE_SCHEMAS, Tables
 from shoplens.sources.fixture import derive_tables
 
 # bucket key per table: the session key for the web tables and orders, the
@@ -74,11 +75,6 @@ def bucket_skew(df: DataFrame, key: str, buckets: int) -> tuple[float, int]:
     return (top * buckets / total if total else 0.0), top
 
 
-def _has_hot_bucket(df: DataFrame, key: str, buckets: int, max_skew: float, min_rows: int) -> bool:
-    skew, top = bucket_skew(df, key, buckets)
-    return skew > max_skew and top > min_rows
-
-
 def write_bucketed_tables(
     spark: SparkSession,
     tables: Tables,
@@ -87,8 +83,7 @@ def write_bucketed_tables(
     buckets: int,
     database: str | None = None,
     mode: str = "errorifexists",
-    max_skew: float = 4.0,
-    min_skewed_rows: int = 1 << 20,
+    layout: Mapping[str, str] | None = None,
 ) -> Tables:
     """Catalog tables at ``path``, bucketed with one bucket count: sessions,
     pageviews and orders by ``website_session_id``, items and refunds by
@@ -100,21 +95,20 @@ def write_bucketed_tables(
     bucket file is sorted by ``created_at`` so Parquet min/max statistics still
     skip row groups outside an analysis' time window.
 
-    A bucket is read by one task, so a hot session (pageviews and orders may
-    hold many rows per session) would make one task read its whole bucket.
-    Before writing, the bucket sizes of every table not bucketed by its own
-    primary key are measured (``bucket_skew``); a table whose largest bucket
-    exceeds ``max_skew`` times the mean and ``min_skewed_rows`` rows is
-    stored unbucketed instead.  Its session-keyed
-    aggregates then run as on plain Parquet: partial aggregation per map task,
-    then a shuffle of one row per session per task, whatever the session's
-    size."""
+    A bucket is read by one task, so a hot session makes one task read its
+    whole bucket.  ``bucket_skew`` measures that; where it matters, the caller
+    states ``layout={"website_pageviews": "plain"}``.  A plain table's
+    session-keyed aggregates run as on plain Parquet: partial aggregation per
+    map task, then a shuffle of one row per session per task, whatever the
+    session's size.  The layout never depends on the data."""
+    layout = dict(layout or {})
+    unknown = set(layout) - set(BUCKET_KEYS) | {v for v in layout.values() if v not in ("plain", "bucketed")}
+    if unknown:
+        raise ValueError(f"unknown table or layout: {sorted(unknown)}")
     for name, df in tables.as_dict().items():
         key = BUCKET_KEYS[name]
         sort_col = "created_at" if "created_at" in df.columns else key
-        # a table bucketed by its own primary key cannot have a hot bucket
-        hot = PRIMARY_KEYS.get(name) != key and _has_hot_bucket(df, key, buckets, max_skew, min_skewed_rows)
-        if hot:
+        if layout.get(name) == "plain":
             # rebalance: AQE cuts the rows into advisory-size files, splitting
             # any partition the input's own layout made skewed
             w = df.hint("rebalance").sortWithinPartitions(sort_col).write.mode(mode).format("parquet")

@@ -1,4 +1,4 @@
-"""Stored layouts: a table with a hot session is not bucketed, and the
+"""Stored layouts: the caller states which tables are bucketed, and the
 analyses give the same results on every layout."""
 
 from __future__ import annotations
@@ -44,11 +44,11 @@ def test_bucket_skew_measures_the_hot_bucket(hot_tables):
     assert top_s < 40 and skew_s < skew
 
 
-def test_hot_table_is_stored_unbucketed(spark, hot_tables, tmp_path):
+def test_layout_is_the_callers_choice(spark, hot_tables, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS shoplens_hot LOCATION '{tmp_path / 'db'}'")
     try:
         stored = write_bucketed_tables(
-            spark, hot_tables, str(tmp_path / "t"), buckets=BUCKETS, database="shoplens_hot", min_skewed_rows=0
+            spark, hot_tables, str(tmp_path / "t"), buckets=BUCKETS, database="shoplens_hot", layout={"website_pageviews": "plain"}
         )
 
         def bucketed(name: str) -> bool:
@@ -94,3 +94,19 @@ def test_bucket_skew_uses_the_writers_bucket_ids(spark, hot_tables, tmp_path):
 def test_bucket_skew_of_an_empty_table(make_tables):
     empty = make_tables()
     assert bucket_skew(empty.P, "website_session_id", BUCKETS) == (0.0, 0)
+
+
+def test_unknown_layouts_are_refused(spark, hot_tables, tmp_path):
+    for layout in ({"website_pageviews": "sorted"}, {"pageviews": "plain"}):
+        with pytest.raises(ValueError):
+            write_bucketed_tables(spark, hot_tables, str(tmp_path / "u"), buckets=BUCKETS, layout=layout)
+
+
+def test_a_hot_session_alone_never_changes_the_layout(spark, hot_tables, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shoplens_all LOCATION '{tmp_path / 'db'}'")
+    try:
+        write_bucketed_tables(spark, hot_tables, str(tmp_path / "t"), buckets=BUCKETS, database="shoplens_all")
+        info = spark.sql("DESCRIBE TABLE EXTENDED shoplens_all.website_pageviews").collect()
+        assert any(r["col_name"] == "Num Buckets" for r in info)
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS shoplens_all CASCADE")

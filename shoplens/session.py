@@ -11,6 +11,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Runtime bloom filters: prune whole-history scans by the window's sessions
+    # from any table size on; the defaults only look at scans of 10 GB or more
+    # and at filters built from 10 MB or less.
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     # PySpark otherwise records the Python call site of every column function

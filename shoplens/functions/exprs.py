@@ -7,9 +7,9 @@ whole-stage codegen; nothing is evaluated in Python.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The paid and social sources and the organic-search referers
@@ -68,32 +68,56 @@ def weekday_mon0(ts: str | Column) -> Column:
     return F.weekday(col(ts))
 
 
+#: Partition column of a stored table: year and month of ``created_at`` as yyyymm.
+MONTH = "created_month"
+
+
+def _month(bound: str) -> int:
+    return int(bound[:4]) * 100 + int(bound[5:7])
+
+
+def _bounded(
+    what: str | Column | DataFrame, value: Callable[[Column], Column], literal: Callable[[str], Column], bounds: Mapping[str, str | None]
+) -> Column:
+    """Conjunction of bounds on ``value`` of a time column.  For a table that is
+    the table's ``created_at``, and if the table is stored by month, the months
+    are bounded as well, so that files of other months are not even opened."""
+    table = what if isinstance(what, DataFrame) else None
+    c = value(F.col("created_at") if table is not None else col(what))
+    tests = {
+        "after": lambda x, y: x > y,
+        "from_": lambda x, y: x >= y,
+        "before": lambda x, y: x < y,
+        "until": lambda x, y: x <= y,
+    }
+    conds: list[Column] = []
+    for kind, bound in bounds.items():
+        if bound is None:
+            continue
+        conds.append(tests[kind](c, literal(bound)))
+        if table is not None and MONTH in table.columns:
+            month = F.col(MONTH)
+            conds.append(month >= _month(bound) if kind in ("after", "from_") else month <= _month(bound))
+    return all_of(conds)
+
+
 def in_range(
-    c: str | Column,
+    c: str | Column | DataFrame,
     *,
     after: str | None = None,
     from_: str | None = None,
     before: str | None = None,
     until: str | None = None,
 ) -> Column:
-    """Conjunction of time bounds: ``after`` is ``>``, ``from_`` is ``>=``,
-    ``before`` is ``<``, ``until`` is ``<=``.  String literals are coerced by
-    Spark to the column's type (midnight for a timestamp column)."""
-    c = col(c)
-    conds: list[Column] = []
-    if after is not None:
-        conds.append(c > F.lit(after).cast("timestamp_ntz"))
-    if from_ is not None:
-        conds.append(c >= F.lit(from_).cast("timestamp_ntz"))
-    if before is not None:
-        conds.append(c < F.lit(before).cast("timestamp_ntz"))
-    if until is not None:
-        conds.append(c <= F.lit(until).cast("timestamp_ntz"))
-    return all_of(conds)
+    """Conjunction of time bounds on a column, or on ``created_at`` of a table:
+    ``after`` is ``>``, ``from_`` is ``>=``, ``before`` is ``<``, ``until`` is
+    ``<=``.  Bounds are ISO dates (midnight) or timestamps."""
+    bounds = {"after": after, "from_": from_, "before": before, "until": until}
+    return _bounded(c, lambda x: x, lambda b: F.lit(b).cast("timestamp_ntz"), bounds)
 
 
 def date_in_range(
-    c: str | Column,
+    c: str | Column | DataFrame,
     *,
     after: str | None = None,
     from_: str | None = None,
@@ -102,15 +126,8 @@ def date_in_range(
     """Bounds on the calendar date of a timestamp (``date(ts) > d`` excludes
     the whole day ``d``).  Spark unwraps ``to_date(ts) op d`` into a timestamp
     range, so these still reach the Parquet scan as pushed filters."""
-    d = F.to_date(col(c))
-    conds: list[Column] = []
-    if after is not None:
-        conds.append(d > F.to_date(F.lit(after)))
-    if from_ is not None:
-        conds.append(d >= F.to_date(F.lit(from_)))
-    if before is not None:
-        conds.append(d < F.to_date(F.lit(before)))
-    return all_of(conds)
+    bounds = {"after": after, "from_": from_, "before": before}
+    return _bounded(c, F.to_date, lambda b: F.to_date(F.lit(b)), bounds)
 
 
 def all_of(conds: Iterable[Column]) -> Column:

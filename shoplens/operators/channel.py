@@ -13,7 +13,7 @@ from shoplens.plans.session_facts import SID, left_join_weight, order_facts
 
 
 def _nonbrand(t: Tables, after: str, before: str, campaign: str) -> DataFrame:
-    return t.S.filter(in_range("created_at", after=after, before=before) & (F.col("utm_campaign") == campaign))
+    return t.S.filter(in_range(t.S, after=after, before=before) & (F.col("utm_campaign") == campaign))
 
 
 def channel_weekly_sessions(
@@ -81,7 +81,7 @@ def free_channel_trend(
 ) -> DataFrame:
     """Monthly brand, direct and organic sessions relative to paid nonbrand.
     Months carry no year."""
-    s = t.S.filter(in_range("created_at", before=before))
+    s = t.S.filter(in_range(t.S, before=before))
     camp, src, ref = F.col("utm_campaign"), F.col("utm_source"), F.col("http_referer")
     nonbrand = count_if(camp == "nonbrand", SID)
     brand = count_if(camp == "brand", SID)

@@ -37,7 +37,7 @@ def _zero(c: str):
 
 def product_sales(t: Tables, *, before: str = "2013-01-04") -> DataFrame:
     """Orders, revenue and margin per year and month."""
-    o = t.O.filter(in_range("created_at", before=before))
+    o = t.O.filter(in_range(t.O, before=before))
     return o.groupBy(F.year("created_at").alias("yr"), F.month("created_at").alias("mo")).agg(
         F.count("order_id").alias("num_of_sales"),
         F.sum("price_usd").cast("decimal(18,2)").alias("total_revenue"),
@@ -51,7 +51,7 @@ def product_launch(
     """Monthly sessions, orders, conversion, revenue per session and orders
     per primary product."""
     per_product = [count_if(F.col("primary_product_id") == k, "order_id").alias(f"p{k}") for k in product_ids]
-    s = t.S.filter(in_range("created_at", after=after, before=before)).select(SID, "created_at")
+    s = t.S.filter(in_range(t.S, after=after, before=before)).select(SID, "created_at")
     j = s.join(order_facts(t.O, *per_product), SID, "left")
     return j.groupBy(F.year("created_at").alias("yr"), F.month("created_at").alias("mo")).agg(
         F.count(SID).alias("sessions"),
@@ -191,7 +191,7 @@ def cross_sell(
     pre, post = ts <= s, ~(ts <= s)
     url = F.col(URL)
     v = (
-        t.P.filter(in_range("created_at", after=after, before=before) & url.isin(SHIPPING, CART))
+        t.P.filter(in_range(t.P, after=after, before=before) & url.isin(SHIPPING, CART))
         .groupBy(SID)
         .agg(
             F.count(F.when(pre, 1)).alias("n_pre"),
@@ -230,7 +230,7 @@ def portfolio_expansion(
     session with views on both sides of the split appears in both periods."""
     ts, s = F.col("created_at"), F.lit(split).cast("timestamp_ntz")
     v = (
-        t.P.filter(in_range("created_at", after=after, before=before))
+        t.P.filter(in_range(t.P, after=after, before=before))
         .groupBy(SID)
         .agg(F.count(F.when(ts <= s, 1)).alias("n_pre"), F.count(F.when(~(ts <= s), 1)).alias("n_post"))
     )
@@ -254,7 +254,7 @@ def product_refund_rates(
 
     The numerator counts refunded item rows, the denominator distinct orders;
     a product without sales in a month gives 0 orders and a NULL rate."""
-    items = t.I.filter(in_range("created_at", before=before)).select(
+    items = t.I.filter(in_range(t.I, before=before)).select(
         "order_item_id", "order_id", "product_id", "created_at"
     )
     refunds = t.R.groupBy("order_item_id").agg(F.count("order_id").alias("n_refunded"))

@@ -14,7 +14,7 @@ WEEKDAY_NAMES = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 def monthly_seasonality(t: Tables, *, before: str = "2013-01-01") -> DataFrame:
     """Sessions and orders per year and month of the session start."""
-    s = t.S.filter(in_range("created_at", before=before)).select(SID, "created_at")
+    s = t.S.filter(in_range(t.S, before=before)).select(SID, "created_at")
     j = s.join(order_facts(t.O), SID, "left")
     return j.groupBy(F.year("created_at").alias("year"), F.month("created_at").alias("month")).agg(
         F.count(SID).alias("sessions"),

@@ -16,7 +16,7 @@ SOURCE_KEYS = ("utm_source", "utm_campaign", "http_referer")
 
 def top_traffic_sources(t: Tables, *, before: str = "2012-04-12", by: Sequence[str] = SOURCE_KEYS) -> DataFrame:
     """Sessions per source/campaign/referer (NULLs form their own groups)."""
-    s = t.S.filter(in_range("created_at", before=before))
+    s = t.S.filter(in_range(t.S, before=before))
     # website_session_id is the key of sessions: count = distinct count
     return s.groupBy(*by).agg(F.count(SID).alias("sessions")).orderBy(F.desc("sessions"))
 
@@ -32,7 +32,7 @@ def conversion(
     """Sessions, orders and session-to-order conversion per ``by`` for the
     sessions started in the window; their orders count whenever placed.
     Distinct counts: a session with two orders is one session, two orders."""
-    s = t.S.filter(in_range("created_at", after=after, from_=from_, before=before)).select(SID, *by)
+    s = t.S.filter(in_range(t.S, after=after, from_=from_, before=before)).select(SID, *by)
     j = s.join(order_facts(t.O), SID, "left")
     sessions, orders = F.count(SID), F.coalesce(F.sum("n_orders"), F.lit(0))
     return j.groupBy(*by).agg(
@@ -54,7 +54,7 @@ def traffic_source_trend(
     """Weekly sessions of one source/campaign.  Weeks carry no year and the
     week number itself is not returned: rows are identified by start_date."""
     s = t.S.filter(
-        in_range("created_at", before=before) & (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)
+        in_range(t.S, before=before) & (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)
     )
     return (
         s.groupBy(sunday_week("created_at").alias("wk"))
@@ -78,7 +78,7 @@ def device_weekly_trend(
 ) -> DataFrame:
     """Weekly mobile vs desktop sessions of one source/campaign."""
     s = t.S.filter(
-        in_range("created_at", after=after, before=before)
+        in_range(t.S, after=after, before=before)
         & (F.col("utm_source") == source)
         & (F.col("utm_campaign") == campaign)
     )

@@ -14,7 +14,7 @@ from shoplens.plans.session_facts import SID, left_join_weight, order_facts
 def repeat_visitors(t: Tables, *, from_: str = "2014-01-01", before: str = "2014-11-01") -> DataFrame:
     """Histogram: number of users by their count of repeat sessions in the
     window (users whose first session predates the window are included)."""
-    s = t.S.filter(in_range("created_at", from_=from_, before=before))
+    s = t.S.filter(in_range(t.S, from_=from_, before=before))
     per_user = s.groupBy("user_id").agg(F.sum("is_repeat_session").alias("repeat_num"))
     return per_user.groupBy("repeat_num").agg(F.count("user_id").alias("users"))
 
@@ -31,7 +31,7 @@ def repeat_interval(t: Tables, *, from_: str = "2014-01-01", before: str = "2014
     new = F.when(F.col("is_repeat_session") == 0, day)
     again = F.when(F.col("is_repeat_session") == 1, day)
     per_user = (
-        t.S.filter(in_range("created_at", from_=from_, before=before) & F.col("user_id").isNotNull())
+        t.S.filter(in_range(t.S, from_=from_, before=before) & F.col("user_id").isNotNull())
         .groupBy("user_id")
         .agg(
             F.min(again).alias("s"),
@@ -52,7 +52,7 @@ def repeat_interval(t: Tables, *, from_: str = "2014-01-01", before: str = "2014
 
 def channel_new_vs_repeat(t: Tables, *, from_: str = "2014-01-01", before: str = "2014-11-05") -> DataFrame:
     """New vs repeat sessions per channel group."""
-    s = t.S.filter(in_range("created_at", from_=from_, before=before))
+    s = t.S.filter(in_range(t.S, from_=from_, before=before))
     rep = F.col("is_repeat_session")
     return s.groupBy(channel_group().alias("channel_group")).agg(
         count_if(rep == 0, "user_id").alias("new_sessions"),
@@ -65,7 +65,7 @@ def new_vs_repeat_performance(
 ) -> DataFrame:
     """Conversion and revenue per session for new vs repeat sessions
     (joined-row counts, as a plain left join gives)."""
-    s = t.S.filter(in_range("created_at", from_=from_, before=before)).select(SID, "is_repeat_session")
+    s = t.S.filter(in_range(t.S, from_=from_, before=before)).select(SID, "is_repeat_session")
     j = s.join(order_facts(t.O), SID, "left")
     rows = F.sum(left_join_weight())
     return j.groupBy("is_repeat_session").agg(

@@ -53,14 +53,14 @@ def top_pages(t: Tables, *, before: str = "2012-06-09") -> DataFrame:
     (URL, session) pair of a page would go to one task and the parallelism
     would be the number of pages.  Here the pairs are made distinct with an
     exchange on (URL, session), then counted per URL from partial counts."""
-    p = t.P.filter(in_range("created_at", before=before))
+    p = t.P.filter(in_range(t.P, before=before))
     pairs = p.select(URL, SID).distinct()
     return pairs.groupBy(URL).agg(F.count(SID).alias("sessions")).orderBy(F.desc("sessions"))
 
 
 def top_entry_pages(t: Tables, *, before: str = "2012-06-12") -> DataFrame:
     """Sessions per landing page (URL of the session's lowest pageview id)."""
-    first = first_views(t.P.filter(in_range("created_at", before=before)))
+    first = first_views(t.P.filter(in_range(t.P, before=before)))
     return first.groupBy(F.col("landing_page")).agg(F.count(SID).alias("sessions_hitting_this_page"))
 
 
@@ -122,7 +122,7 @@ def landing_page_test(
 ) -> DataFrame:
     """Bounce rate per landing page for one source/campaign; the window is
     on calendar dates of the pageviews."""
-    pw = t.P.filter(date_in_range("created_at", from_=from_date, before=before_date))
+    pw = t.P.filter(date_in_range(t.P, from_=from_date, before=before_date))
     first = first_views(pw, landings=landings).join(
         _sessions_of(t, (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)), SID
     )
@@ -146,7 +146,7 @@ def landing_page_weekly_trend(
     column per landing page (named by a mapping, or after its path).
     Both end days are excluded (``date > after`` and ``date < before``)."""
     pages = named_urls(landings, LANDING_NAMES)
-    pw = t.P.filter(date_in_range("created_at", after=after_date, before=before_date))
+    pw = t.P.filter(date_in_range(t.P, after=after_date, before=before_date))
     first = first_views(pw, F.min(F.to_date("created_at")).alias("created_date"), landings=list(pages.values())).join(
         _sessions_of(t, (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)), SID
     )
@@ -186,7 +186,7 @@ def session_click_funnel(
     """Per session that landed on ``landing``: number of views of each
     funnel page (views, not 0/1 flags; pageviews are not date-bounded)."""
     landing, steps = _funnel_steps(landing, steps)
-    pw = t.P.filter(in_range("created_at", after=after, before=before))
+    pw = t.P.filter(in_range(t.P, after=after, before=before))
     first = first_views(pw, landings=[landing]).join(_sessions_of(t, F.col("utm_source") == source), SID)
     landed = first.filter(F.col("landing_page") == landing).select(SID)
     counts = url_counts(t.P, steps)
@@ -248,7 +248,7 @@ def billing_page_test(
     # one row per session with a presence count per version (grouping by the
     # session alone keeps the join with the order facts exchange-free)
     seen = (
-        t.P.filter(in_range("created_at", before=before) & (F.col(PVID) >= threshold) & F.col(URL).isin(*urls))
+        t.P.filter(in_range(t.P, before=before) & (F.col(PVID) >= threshold) & F.col(URL).isin(*urls))
         .groupBy(SID)
         .agg(*[F.count(F.when(F.col(URL) == u, 1)).alias(f"v{i}") for i, u in enumerate(urls)])
     )

@@ -16,6 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.functions.exprs import MONTH
 from shoplens.model import TABLE_SCHEMAS, Tables
 from shoplens.sources.fixture import derive_tables
 
@@ -54,12 +55,22 @@ def from_driver_dir(spark: SparkSession, sf_dir: str) -> Tables:
     return derive_tables(events, part)
 
 
-def write_parquet_tables(tables: Tables, path: str, *, mode: str = "errorifexists") -> None:
-    """Plain Parquet layout; each table sorted by its time column inside files
-    so min/max statistics prune row groups for time-window filters."""
+def write_parquet_tables(tables: Tables, path: str, *, mode: str = "errorifexists", by_month: bool = True) -> None:
+    """Plain Parquet layout.  Tables with a time are stored by month
+    (``created_month=yyyymm`` folders), so that an analysis opens the files of
+    its own months only; inside a file rows are sorted by time, so that min/max
+    statistics prune row groups as well.
+
+    Rows are rebalanced by month before the write: a large month is written by
+    several tasks, and no task writes a file for every month."""
     for name, df in tables.as_dict().items():
-        out = df.sortWithinPartitions("created_at") if "created_at" in df.columns else df
-        out.write.mode(mode).parquet(os.path.join(path, name))
+        if not (by_month and "created_at" in df.columns):
+            out = df.sortWithinPartitions("created_at") if "created_at" in df.columns else df
+            out.write.mode(mode).parquet(os.path.join(path, name))
+            continue
+        month = (F.year("created_at") * 100 + F.month("created_at")).cast("int")
+        out = df.withColumn(MONTH, month).hint("rebalance", MONTH).sortWithinPartitions(MONTH, "created_at")
+        out.write.mode(mode).partitionBy(MONTH).parquet(os.path.join(path, name))
 
 
 def bucket_skew(df: DataFrame, key: str, buckets: int) -> tuple[float, int]:
@@ -106,6 +117,7 @@ def write_bucketed_tables(
     if unknown:
         raise ValueError(f"unknown table or layout: {sorted(unknown)}")
     for name, df in tables.as_dict().items():
+        df = df.drop(MONTH)
         key = BUCKET_KEYS[name]
         sort_col = "created_at" if "created_at" in df.columns else key
         if layout.get(name) == "plain":

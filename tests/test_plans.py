@@ -145,3 +145,36 @@ def test_single_pass(spark, stored, name):
     assert p.count("FileScan") == 1 and "Join" not in p, p
     key = "user_id" if name == "repeat_interval" else "website_session_id"
     assert p.count(f"hashpartitioning({key}") == 1, p
+
+
+@pytest.mark.parametrize("name", ["top_pages", "traffic_conversion_rates", "landing_page_test", "product_sales", "repeat_visitors"])
+def test_windows_prune_months(stored, name):
+    """The window reaches the partition filter: files of other months are not opened."""
+    p = plan_of(OPERATORS[name](stored))
+    assert "PartitionFilters: [isnotnull(created_month" in p, p
+
+
+def test_runtime_filter_prunes_whole_history(spark, stored):
+    """With shuffled joins and scans beyond the limits, the orders of all time are pruned by the window's sessions."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {k: spark.conf.get(k) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    try:
+        p = plan_of(OPERATORS["traffic_conversion_rates"](stored))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "might_contain" in p, p
+
+
+def test_layout_by_month_gives_equal_results(spark, stored):
+    from shoplens.sources import from_driver_dir
+
+    plain = from_driver_dir(spark, SF_SMALL)
+    for name in ("top_pages", "landing_page_weekly_trend", "product_pathing", "repeat_interval", "home_bounce_rate"):
+        got, want = OPERATORS[name](stored).collect(), OPERATORS[name](plain).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)), name

@@ -16,7 +16,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from shoplens.operators import OPERATORS  # noqa: E402
-from shoplens.session import get_spark  # noqa: E402
+from shoplens.session import checkpoint_dir, get_spark, scratch_path  # noqa: E402
 from shoplens.sources import (  # noqa: E402
     from_driver_dir,
     read_parquet_tables,
@@ -61,7 +61,10 @@ def main(argv) -> None:
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shoplens-wh-"),
         },
     )
-    base = tempfile.mkdtemp(prefix="shoplens-audit-")
+    # the session's shared folder; one of our own only where it names none (the master is local)
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="shoplens-audit-"))
+    base = scratch_path(spark, "audit")
     write_parquet_tables(from_driver_dir(spark, sf_dir), os.path.join(base, "plain"))
     plain = read_parquet_tables(spark, os.path.join(base, "plain"))
     bucketed = write_bucketed_tables(spark, plain, os.path.join(base, "bucketed"), buckets=8)

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 
-#: Rows per Arrow batch between Spark and Python: whole texts, so far fewer than Spark's 10,000.
-BATCH_ROWS = 500
+#: Rows and bytes per Arrow batch between Spark and Python: whole texts can be long.
+BATCH_ROWS, BATCH_BYTES = 10_000, 8 << 20
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -57,9 +57,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+def small_batches(spark: SparkSession) -> None:
     """Prepare a session for Python stages: bounded Arrow batches, and this package on the executors."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parents[1]
@@ -85,11 +86,11 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
-def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
-    """The first ``n`` powers of ``base`` modulo 2^64, remembered within one Python worker."""
+def power(name: str, n: int) -> np.ndarray:
+    """The first ``n`` powers modulo 2^64 of the hashes' base (up) or of its inverse (down), remembered within one Python worker."""
     have = _powers[name]
     if len(have) < n:
-        steps = np.full(max(n, 1 << 16), base, np.uint64)
+        steps = np.full(max(n, 1 << 16), _MULT if name == "up" else _INVERSE, np.uint64)
         steps[0] = 1
         have = _powers[name] = np.multiply.accumulate(steps)
     return have[:n]
@@ -108,8 +109,8 @@ def word_hashes(text: str | None) -> np.ndarray:
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edges[0::2], edges[1::2]
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTES[data] * _power("up", _MULT, n), out=sums[1:])
-    return mix((sums[end] - sums[start]) * _power("down", _INVERSE, n + 1)[start] + (end - start).astype(np.uint64))
+    np.cumsum(_BYTES[data] * power("up", n), out=sums[1:])
+    return mix((sums[end] - sums[start]) * power("down", n + 1)[start] + (end - start).astype(np.uint64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -195,7 +196,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, label) of every node of ``edges`` (a, b): label is the least node of its component.
 
     Alternating large-star and small-star rounds until the edges no longer
-    change.  Each round is stored; nodes and edges stay in Spark.
+    change.  Each round is stored; nodes and edges stay in Spark.  The least
+    neighbours are stored as well: their join with the edges then shuffles both
+    sides, so that Spark can split the edges of a node that has very many.
     """
 
     def ordered(df: DataFrame) -> DataFrame:
@@ -205,9 +208,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), f"{name}-large")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, f"{name}-edges")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-small")
         small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
         after = stored(ordered(small), name)
         new = _mark(after)

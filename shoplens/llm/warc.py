@@ -269,7 +269,7 @@ def read_records(index: DataFrame) -> DataFrame:
     A response's payload is measured and its digest checked; a revisit's length
     and digest come from its record.
     """
-    small_batches(index.sparkSession, 2000)
+    small_batches(index.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_name, source = None, None

@@ -210,9 +210,10 @@ def _base64_layers(layer: _Layer) -> Iterator[_Layer]:
         if (text := _as_text(data)) is not None:
             at = _char_bytes(text)
             first, last = a + at[:-1] * 4 // 3, np.minimum(a + (at[1:] * 4 + 2) // 3, b)
+            last[-1] = m.end()  # with the padding
             yield _Layer(text, layer.starts[first], layer.ends[last - 1], np.ones(len(text), bool))
             continue
-        lo, hi = int(layer.starts[a]), int(layer.ends[b - 1])
+        lo, hi = int(layer.starts[a]), int(layer.ends[m.end() - 1])
         streams, seen = [data], set()
         while streams:  # compressed streams nested in each other
             blob = streams.pop()

@@ -42,15 +42,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs no recomputation of what is
-    stored, and side results are computed once.
+    stored, and side results are computed once.  zstd, which keeps native
+    buffers until the JVM happens to collect its garbage, is for large tables.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -197,8 +198,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Alternating large-star and small-star rounds until the edges no longer
     change.  Each round is stored; nodes and edges stay in Spark.  The least
-    neighbours are stored as well: their join with the edges then shuffles both
-    sides, so that Spark can split the edges of a node that has very many.
+    neighbours of the large-star step are stored as well: their join with the
+    edges then shuffles both sides, so that Spark can split the edges of a node
+    that has very many.
     """
 
     def ordered(df: DataFrame) -> DataFrame:
@@ -210,8 +212,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), f"{name}-large")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, f"{name}-edges")
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-small")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
         after = stored(ordered(small), name)
         new = _mark(after)

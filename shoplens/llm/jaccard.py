@@ -44,7 +44,7 @@ DEPTH = 4
 #: A pair at the threshold reaches this share of equal signature entries but for a chance of 4 in 10,000.
 ESTIMATE = 0.64
 #: Shingles and sets of a block of a component in verification.
-BLOCK_SHINGLES, BLOCK_SETS = 1 << 18, 1024
+BLOCK_SHINGLES, BLOCK_SETS = 1 << 18, 256
 _SEEDS = mix(np.arange(1, ORDERS + 1, dtype=np.uint64))
 
 

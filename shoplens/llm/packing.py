@@ -96,7 +96,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     ``start`` counts the document's tokens before the piece, ``offset`` the
     sequence's.  ``with_ids`` adds the ids themselves as an array.
     """
-    tokens = stored(tokenize(docs, id_col, text_col, files, separator), "tokens")
+    tokens = stored(tokenize(docs, id_col, text_col, files, separator), "tokens", "zstd")
     totals = stored(tokens.groupBy("part").agg(F.sum("n_ids").alias("total")), "totals")
     # one row per partition of the scan, never per document
     before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))

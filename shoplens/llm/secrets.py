@@ -14,9 +14,11 @@ run).  Matches in a decoded layer count only where they touch decoded
 characters, so they never repeat or replace layer 0's.
 
 Inflated streams are read in blocks with an overlap, so memory stays bounded
-and nothing inflated is skipped; base64 or escapes nested in a stream are
-unwrapped within a block.  Defined cases: a null or empty text has no spans;
-undecodable or non-text bytes are left alone; repeated rows are scanned each.
+and nothing inflated is skipped: all members of a stream are read, streams
+nested in it are inflated as streams, and a byte that is not UTF-8 costs only
+itself.  Base64 or escapes nested in a stream are unwrapped within a block.
+Defined cases: a null or empty text has no spans; undecodable or non-text bytes
+outside of streams are left alone; repeated rows are scanned each.
 """
 
 from __future__ import annotations
@@ -147,53 +149,64 @@ def _escapes(match: str) -> tuple[str, np.ndarray] | None:
     return "".join(chars), np.array(cuts)
 
 
-def _inflated(data: bytes) -> Iterator[bytes] | None:
-    """Chunks of a compressed stream by its magic bytes; None when it is not one."""
+def _machine(data: bytes):
+    """A decompressor for a stream with these first bytes; None when it is not one."""
     if data[:2] == b"\x1f\x8b":
-        machine = zlib.decompressobj(31)
-    elif len(data) > 2 and data[0] & 15 == 8 and int.from_bytes(data[:2], "big") % 31 == 0:
-        machine = zlib.decompressobj(15)
-    elif data[:3] == b"BZh":
-        machine = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        machine = lzma.LZMADecompressor()
-    else:
-        return None
-
-    def chunks() -> Iterator[bytes]:
-        todo = data
-        try:
+        return zlib.decompressobj(31)
+    if len(data) > 2 and data[0] & 15 == 8 and int.from_bytes(data[:2], "big") % 31 == 0:
+        return zlib.decompressobj(15)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _inflated(source: Iterator[bytes]) -> Iterator[bytes]:
+    """Chunks of a compressed stream, of all its members; nothing when it is not one."""
+    todo = b""
+    try:
+        while True:
+            while len(todo) < 6 and (more := next(source, None)) is not None:
+                todo = (todo + more).lstrip(b"\0")  # padding between members
+            if (machine := _machine(todo)) is None:
+                return
             while not machine.eof:
                 out = machine.decompress(todo, BLOCK)
                 todo = getattr(machine, "unconsumed_tail", b"")
                 if out:
                     yield out
-                if not out and not todo and getattr(machine, "needs_input", True):
-                    return
-        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-            return
-
-    return chunks()
-
-
-def _blocks(chunks: Iterator[bytes]) -> Iterator[bytes | str]:
-    """Overlapping blocks of text of an inflated stream; a small stream that is not text comes as its bytes."""
-    decoder, rest, first, raw = codecs.getincrementaldecoder("utf-8")(), "", True, b""
-    for chunk in chunks:
-        raw = chunk if first else b""
-        try:
-            new = decoder.decode(chunk)
-        except UnicodeDecodeError:
-            if first:
-                yield raw + b"".join(chunks) if len(chunk) < BLOCK else raw
+                elif not todo and not machine.eof and getattr(machine, "needs_input", True):
+                    if (more := next(source, None)) is None:
+                        return
+                    todo = more
+            todo = machine.unused_data.lstrip(b"\0")
+    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+        return
+
+
+def _blocks(data: bytes) -> Iterator[str]:
+    """Overlapping blocks of text of a compressed stream and of the streams nested in it; a byte that is not UTF-8 becomes a mark."""
+    depth, seen = 0, set()
+    while True:
+        depth += 1
+        chunks: Iterator[bytes] = iter([data])
+        for _ in range(depth):
+            chunks = _inflated(chunks)
+        decoder, rest, mark, some = codecs.getincrementaldecoder("utf-8")("replace"), "", hashlib.blake2b(digest_size=16), False
+        for chunk in chunks:
+            some = True
+            mark.update(chunk)
+            rest += decoder.decode(chunk)
+            while len(rest) >= BLOCK:
+                yield rest[:BLOCK]
+                rest = rest[BLOCK - OVERLAP :]
+        rest += decoder.decode(b"", True)
+        if rest:
+            yield rest
+        if not some or mark.digest() in seen:  # no stream, or one that holds itself
             return
-        first = False
-        rest += new
-        while len(rest) >= BLOCK:
-            yield rest[:BLOCK]
-            rest = rest[BLOCK - OVERLAP :]
-    if rest:
-        yield rest
+        seen.add(mark.digest())
 
 
 def _base64_layers(layer: _Layer) -> Iterator[_Layer]:
@@ -214,18 +227,9 @@ def _base64_layers(layer: _Layer) -> Iterator[_Layer]:
             yield _Layer(text, layer.starts[first], layer.ends[last - 1], np.ones(len(text), bool))
             continue
         lo, hi = int(layer.starts[a]), int(layer.ends[m.end() - 1])
-        streams, seen = [data], set()
-        while streams:  # compressed streams nested in each other
-            blob = streams.pop()
-            mark = hashlib.blake2b(blob, digest_size=16).digest()
-            chunks = None if mark in seen else _inflated(blob)
-            seen.add(mark)
-            for block in _blocks(chunks) if chunks is not None else ():
-                if isinstance(block, bytes):
-                    streams.append(block)
-                else:
-                    n = len(block)
-                    yield _Layer(block, np.full(n, lo, np.int64), np.full(n, hi, np.int64), np.ones(n, bool))
+        for block in _blocks(data):
+            n = len(block)
+            yield _Layer(block, np.full(n, lo, np.int64), np.full(n, hi, np.int64), np.ones(n, bool))
 
 
 def _unwrapped(layer: _Layer) -> Iterator[_Layer]:

@@ -129,3 +129,33 @@ def test_redaction_removes_every_layer(spark, make_docs):
     assert rows[1].text == "a [assign] b" and rows[1].n_chars == 12
     assert rows[2].text == "see [assign] end"
     assert all(s.find_secrets(r.text) == ([], []) for r in rows.values())
+
+
+PACKERS = [gzip.compress, bz2.compress, lzma.compress]
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+@pytest.mark.parametrize("gap", [b"", b"\0" * 20])
+def test_later_members_of_a_stream(pack, gap):
+    blob = _b64(pack(b"first ") + gap + pack(b"second ") + gap + pack(SECRET.encode()))
+    assert [k for k, _, _ in s.find_secrets("see " + blob)[1]] == ["assign"]
+
+
+def test_bytes_that_are_not_text_cost_only_themselves(monkeypatch):
+    noise = bytes(range(256))
+    filler = b"lorem ipsum " * 300
+    monkeypatch.setattr(s, "BLOCK", 1 << 10)
+    monkeypatch.setattr(s, "OVERLAP", 1 << 7)
+    for data in (noise + SECRET.encode(), filler + b"caf\xe9 " + filler + SECRET.encode(), SECRET.encode() + b" " + filler + noise):
+        for pack in [*PACKERS, zlib.compress]:
+            assert [k for k, _, _ in s.find_secrets(_b64(pack(data)))[1]] == ["assign"]
+
+
+def test_nested_streams_beyond_a_block(monkeypatch):
+    monkeypatch.setattr(s, "BLOCK", 1 << 10)
+    monkeypatch.setattr(s, "OVERLAP", 1 << 7)
+    noise = random.Random(6).randbytes(20_000).hex(" ").encode()
+    for inner in [*PACKERS, zlib.compress]:
+        for outer in PACKERS:
+            blob = _b64(outer(inner(noise + b" " + SECRET.encode())))
+            assert [k for k, _, _ in s.find_secrets(blob)[1]] == ["assign"]

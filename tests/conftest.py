@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
 import tempfile
@@ -13,9 +12,6 @@ sys.path.insert(0, ROOT)
 from shoplens.model import TABLE_SCHEMAS, Tables  # noqa: E402
 from shoplens.session import checkpoint_dir, get_spark  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -31,10 +27,6 @@ def spark():
     yield s
 
 
-def ts(s: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(s)
-
-
 @pytest.fixture(scope="session")
 def make_tables(spark):
     """Build a Tables object from small lists of tuples (missing tables are empty)."""
@@ -46,18 +38,3 @@ def make_tables(spark):
         return Tables(**dfs)
 
     return build
-
-
-def session_row(sid, created, user=1, repeat=0, source="gsearch", campaign="nonbrand", device="desktop",
-                referer="https://www.gsearch.com"):
-    return (sid, ts(created), user, repeat, source, campaign, device, referer)
-
-
-def pv_row(pvid, created, sid, url):
-    return (pvid, ts(created), sid, url)
-
-
-def order_row(oid, created, sid, user=1, product=1, items=1, price="50.00", cogs="20.00"):
-    from decimal import Decimal
-
-    return (oid, ts(created), sid, user, product, items, Decimal(price), Decimal(cogs))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from support import SF_MID
 
 from shoplens import operators as ops
 from shoplens.sources import from_driver_dir

@@ -7,7 +7,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import order_row, pv_row, session_row
+from support import order_row, pv_row, session_row
 
 from shoplens.operators import OPERATORS
 from shoplens.sources import bucket_skew, write_bucketed_tables

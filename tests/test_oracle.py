@@ -8,7 +8,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import ROOT, SF_MID, SF_SMALL
+from support import ROOT, SF_MID, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as E  # noqa: E402

@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 
 import pytest
-from conftest import order_row, pv_row, session_row
+from support import order_row, pv_row, session_row
 from pyspark.sql import functions as F
 
 from shoplens import operators as ops

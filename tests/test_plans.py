@@ -9,7 +9,7 @@ import tempfile
 
 import pytest
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 from shoplens.operators import OPERATORS
 from shoplens.sources import from_driver_dir, read_parquet_tables, write_parquet_tables

@@ -16,7 +16,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from conftest import ROOT
+from support import ROOT
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 from compare import rows_of  # noqa: E402

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import order_row, pv_row, session_row, ts
+from support import order_row, pv_row, session_row, ts
 
 from shoplens import operators as ops
 

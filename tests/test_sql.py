@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 from shoplens import operators as ops
 from shoplens.functions import sunday_week

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, containment, jaccard, langid, packing, passages, quality, resharding, secrets, warc
+from shoplens.llm import audit, chat, containment, jaccard, langid, packing, passages, quality, repeats, resharding, secrets, warc, whitening
 from shoplens.llm.common import documents
 
 
@@ -53,6 +53,19 @@ def op10_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.cut_repeats(documents(spark, sf_dir))
+    return rows.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_quality": op1_ngram_quality,
     "op2_secret_scan": op2_secret_scan,
@@ -64,6 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_unigram_language": op8_unigram_language,
     "op9_perspective_rotation": op9_perspective_rotation,
     "op10_concatenate_and_cut": op10_concatenate_and_cut,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_cholesky_whitening": op12_cholesky_whitening,
+    "op13_suffix_repeats": op13_suffix_repeats,
 }
 
-ORACLES: dict[str, str] = {"op9_perspective_rotation": chat.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op9_perspective_rotation": chat.ORACLE_SQL, "op11_filter_audit": audit.ORACLE_SQL}

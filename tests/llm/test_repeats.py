@@ -1,0 +1,119 @@
+"""Repeated strings cut by sorted suffixes, against counting every window."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from shoplens.llm import repeats
+
+
+def plain(texts, length):
+    """Per text: the united spans of windows that start anywhere else too, and the rest."""
+    data = [(t or "").encode() for t in texts]
+    count = Counter(d[p : p + length] for d in data for p in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = np.zeros(len(d), bool)
+        for p in range(len(d) - length + 1):
+            if count[d[p : p + length]] > 1:
+                gone[p : p + length] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])))
+        out.append((len(d), list(zip(edges[0::2].tolist(), edges[1::2].tolist())), bytes(np.frombuffer(d, np.uint8)[~gone])))
+    return out
+
+
+def cut(docs, **kw):
+    return {r.doc_id: (r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in repeats.cut_repeats(docs, **kw).collect()}
+
+
+def corpus(seed, n=60, length=12):
+    """Texts over few letters with planted strings around the length, copies, and repetitive runs."""
+    rnd = random.Random(seed)
+    word = lambda k, letters="abcdefgh": "".join(rnd.choice(letters) for _ in range(k))
+    shared = [word(rnd.choice([length - 1, length, length + 1, 3 * length])) for _ in range(8)]
+    texts = []
+    for _ in range(n):
+        text = word(rnd.randrange(0, 60))
+        for _ in range(rnd.randrange(4)):
+            text += rnd.choice(shared) + word(rnd.randrange(0, 30))
+        texts.append(text)
+    texts += [texts[3], texts[3], "a" * 200, "ab" * 90, "xyz" * 5, "", None, None, "é" * 30, "ü" + "é" * 29 + word(20), "a" * (length - 1), "a" * 25]
+    return texts
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("hot", [repeats.HOT, 2])
+def test_equals_counting_every_window(spark, make_docs, seed, hot):
+    texts = corpus(seed)
+    assert cut(make_docs(texts), length=12, hot=hot) == dict(enumerate(plain(texts, 12)))
+
+
+@pytest.mark.parametrize("chunk", [7, 64])
+def test_pieces_do_not_change_the_result(spark, make_docs, monkeypatch, chunk):
+    texts = corpus(5)
+    bounds = np.cumsum([0] + [len((t or "").encode()) for t in texts])
+    data = np.frombuffer("".join(t or "" for t in texts).encode(), np.uint8)
+    listed = lambda: {(int(t), p - int(a)) for at, low, high, token in repeats.stretches(data, bounds[:-1], bounds[1:], 12) for a, b, c, t in zip(at, low, high, token) for p in range(b, c + 1)}
+    whole = listed()
+    monkeypatch.setattr(repeats, "CHUNK", chunk)
+    assert listed() == whole
+
+
+def test_every_window_is_in_one_stretch_and_equal_windows_have_equal_tokens():
+    rnd = random.Random(9)
+    data = bytes(rnd.choice(b"ab") for _ in range(3000))
+    seen = {}
+    for at, low, high, token in repeats.stretches(np.frombuffer(data, np.uint8), np.array([0]), np.array([3000]), 16):
+        for a, b, c, t in zip(at, low, high, token):
+            for p in range(b, c + 1):
+                key = data[p : p + 16]
+                assert b <= p and p <= a <= p + 12
+                assert seen.setdefault(key, (a - p, t)) == (a - p, t)
+    assert len(seen) == len({data[p : p + 16] for p in range(2985)})
+
+
+def test_tied_suffixes_equal_a_plain_count():
+    rnd = random.Random(4)
+    base = bytes(rnd.choice(b"ab") for _ in range(40))
+    rows = [base[:k] + bytes(rnd.choice(b"abc") for _ in range(40 - k)) for k in (40, 40, 31, 32, 33, 39, 8, 9, 0)] * 2 + [bytes(40)] * 2 + [b"\xff" * 40]
+    data = np.frombuffer(b"".join(rows), np.uint8)
+    for length in (8, 12, 40):
+        for groups in (1, 3):
+            pos, group = np.arange(len(rows)) * 40, np.arange(len(rows)) % groups
+            count = Counter((g, r[:length]) for g, r in zip(group, rows))
+            want = [count[g, r[:length]] > 1 for g, r in zip(group, rows)]
+            assert repeats.tied_suffixes(data, pos, group, length).tolist() == want
+
+
+def test_the_contracts_length_on_planted_passages(spark, make_docs):
+    rnd = random.Random(11)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    passage, near = words(120), words(100)
+    edited = near.split()
+    edited[50] = "changed"
+    texts = [words(50) + passage[:399] + words(20), words(30) + passage[:400] + words(60), passage[:401] + words(9), near, " ".join(edited), words(300), words(2000), words(8) * 90]
+    assert cut(make_docs(texts)) == dict(enumerate(plain(texts, 400)))
+
+
+def test_hot_copies_null_ids_and_clashing_columns(spark, make_docs):
+    texts = ["the same words " * 40] * 300 + ["other words " * 3, None, ""]
+    docs = make_docs(texts, extra="t1 t2 token spans kept id n_bytes start end", parts=8)
+    got = cut(docs, length=100)
+    assert got[0] == (600, [(0, 600)], b"") and got[299] == got[0] and got[300] == (36, [], texts[300].encode()) and got[301] == got[302] == (0, [], b"")
+    nulls = docs.selectExpr("cast(null as long) as doc_id", "text")
+    assert repeats.cut_repeats(nulls, length=100).count() == len(texts)
+    assert repeats.cut_repeats(docs.limit(0), length=100).count() == 0
+
+
+def test_one_long_repetitive_text_is_linear(spark, make_docs):
+    text = "all the same " * 100_000
+    (got,) = cut(make_docs([text])).values()
+    assert got[1] == [(0, len(text))] and got[2] == b""
+    long = "".join(chr(97 + b % 26) for b in np.random.default_rng(1).integers(0, 256, 3_000_000).astype(np.uint8).tolist())
+    (got,) = cut(make_docs([long + "tail"])).values()
+    assert got[1] == [] and hashlib.sha256(got[2]).hexdigest() == hashlib.sha256((long + "tail").encode()).hexdigest()

@@ -184,7 +184,7 @@ WITH d AS (
       OR step > 2 AND fails[ascii(substr(filter_order, 2, 1)) - 64]
       OR step > 3 AND fails[ascii(substr(filter_order, 3, 1)) - 64]
       OR step > 4 AND fails[ascii(substr(filter_order, 4, 1)) - 64] AS gone,
-    len(list_filter(fails, x -> x)) = 1 AS once
+    list_sum(CAST(fails AS INTEGER[])) = 1 AS once
   FROM g, orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
 ), counts AS (
   SELECT part, filter_order, step, letter,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
+from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SESSIONS_SCHEMA = T.StructType(
@@ -66,9 +69,9 @@ TABLE_SCHEMAS = {
     "order_item_refunds": REFUNDS_SCHEMA,
 }
 
-# Primary keys.  Several analyses rely on them: a count of a key column at
-# its own grain equals the distinct count, which keeps aggregations free of
-# the extra exchange a DISTINCT aggregate needs.
+# Primary keys.  Where a key is declared unique (Tables.unique), a count of it at
+# its own grain is the distinct count; elsewhere the analyses reduce rows to one
+# per group and key first (shoplens.plans.distinct).
 PRIMARY_KEYS = {
     "website_sessions": "website_session_id",
     "website_pageviews": "website_pageview_id",
@@ -86,13 +89,25 @@ def _compatible(have: T.DataType, want: T.DataType) -> bool:
 
 @dataclass(frozen=True)
 class Tables:
-    """The five related tables every analysis reads."""
+    """The five related tables every analysis reads.
+
+    ``unique`` names the tables whose primary key is known to hold (no value
+    twice, none NULL).  It is a constraint that readers and writers set after a
+    check (``declare_unique``); without it every result still is right, from a
+    plan with one more exchange.
+
+    ``reducer`` (a ``shoplens.plans.reducer.Reducer``) turns on the explicit
+    semi-join reduction of whole-history tables by a window's sessions.  It
+    costs a count of those sessions when an analysis is built, so it is for
+    tables whose history is far larger than the windows asked for."""
 
     website_sessions: DataFrame
     website_pageviews: DataFrame
     orders: DataFrame
     order_items: DataFrame
     order_item_refunds: DataFrame
+    unique: frozenset[str] = frozenset()
+    reducer: Any = None
 
     # short aliases used throughout the operators
     @property
@@ -116,20 +131,39 @@ class Tables:
         return self.order_item_refunds
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in TABLE_SCHEMAS}
 
-    def key_violations(self) -> dict[str, DataFrame]:
-        """Per table, the key values that occur more than once (lazy; empty
-        DataFrames when the keys hold).  Distributed: one grouped count per
-        table, nothing is collected."""
-        from pyspark.sql import functions as F
+    def of_sessions(self, facts: DataFrame, sessions: DataFrame) -> DataFrame:
+        """``facts``, of which only rows of ``sessions`` are wanted: reduced to
+        these (and a few more) where a reducer is set."""
+        return self.reducer.reduce(facts, sessions) if self.reducer else facts
 
+    def key_violations(self) -> dict[str, DataFrame]:
+        """Per table, the key values that occur more than once or are NULL
+        (lazy; empty DataFrames when the keys hold).  Distributed: one grouped
+        count per table, nothing is collected."""
         out = {}
         for name, key in PRIMARY_KEYS.items():
             df = getattr(self, name)
-            out[name] = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+            counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+            out[name] = counts.filter((F.col("n") > 1) | F.col(key).isNull())
         return out
 
+    def declare_unique(self, names: Iterable[str] = tuple(PRIMARY_KEYS), *, check: bool = True) -> "Tables":
+        """These tables with the primary keys of ``names`` declared unique.
+
+        The check counts each table's keys in Spark and takes one offending
+        value to the driver; a key that does not hold raises ``ValueError``.
+        ``check=False`` is for keys that hold by construction."""
+        names = frozenset(names)
+        if unknown := names - set(PRIMARY_KEYS):
+            raise ValueError(f"tables without a primary key: {sorted(unknown)}")
+        violations = self.key_violations() if check else {}
+        for name in sorted(names if check else ()):
+            if bad := violations[name].first():
+                raise ValueError(f"{name}.{PRIMARY_KEYS[name]} is not unique: {bad[0]!r} occurs {bad['n']} times")
+        return replace(self, unique=self.unique | names)
+
     def validate(self) -> "Tables":
         """Check that every required column is present with a compatible type:
         the schema's own, or one of the same kind (any integer for an integer,

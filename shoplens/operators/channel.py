@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import ORGANIC_REFERERS, count_if, in_range, ratio, sunday_week
 from shoplens.model import Tables
+from shoplens.plans.distinct import key_grain
 from shoplens.plans.session_facts import SID, left_join_weight, order_facts
 
 
@@ -32,10 +33,11 @@ def channel_weekly_sessions(
 def channel_device_mix(
     t: Tables, *, after: str = "2012-08-22", before: str = "2012-11-29", campaign: str = "nonbrand"
 ) -> DataFrame:
-    """Share of mobile sessions per source."""
+    """Share of mobile sessions per source (distinct sessions, mobile rows)."""
     s = _nonbrand(t, after, before, campaign)
-    total, mobile = F.count(SID), count_if(F.col("device_type") == "mobile", SID)
-    return s.groupBy("utm_source").agg(
+    is_mobile = F.when((F.col("device_type") == "mobile") & F.col(SID).isNotNull(), 1).otherwise(0)
+    total, mobile = F.count(SID), F.sum("mobile")
+    return key_grain(t, "website_sessions", s, ["utm_source"], mobile=("sum", is_mobile)).groupBy("utm_source").agg(
         total.alias("total_sessions"), mobile.alias("mobile_sessions"), ratio(mobile, total).alias("pct_of_mobile")
     )
 
@@ -46,7 +48,7 @@ def cross_channel_conversion(
     """Conversion per device and source, counting joined rows (a session with
     two orders counts twice as a session), as a plain left join would."""
     s = _nonbrand(t, after, before, campaign).select(SID, "device_type", "utm_source")
-    j = s.join(order_facts(t.O), SID, "left")
+    j = s.join(order_facts(t.of_sessions(t.O, s)), SID, "left")
     sessions, orders = F.sum(left_join_weight()), F.sum(F.coalesce(F.col("n_rows"), F.lit(0)))
     return j.groupBy("device_type", "utm_source").agg(
         sessions.alias("sessions"), orders.alias("orders"), ratio(orders, sessions).alias("conv_rate")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import count_if, in_range, named_urls, ratio, sum_if
 from shoplens.model import Tables
+from shoplens.plans.distinct import TIMES, distinct_order_rows, key_grain, with_orders
 from shoplens.plans.session_facts import (
     SID,
     URL,
@@ -38,10 +39,18 @@ def _zero(c: str):
 def product_sales(t: Tables, *, before: str = "2013-01-04") -> DataFrame:
     """Orders, revenue and margin per year and month."""
     o = t.O.filter(in_range(t.O, before=before))
-    return o.groupBy(F.year("created_at").alias("yr"), F.month("created_at").alias("mo")).agg(
+    per_order = key_grain(
+        t,
+        "orders",
+        o,
+        {"yr": F.year("created_at"), "mo": F.month("created_at")},
+        revenue=("sum", F.col("price_usd")),
+        margin=("sum", F.col("price_usd") - F.col("cogs_usd")),
+    )
+    return per_order.groupBy("yr", "mo").agg(
         F.count("order_id").alias("num_of_sales"),
-        F.sum("price_usd").cast("decimal(18,2)").alias("total_revenue"),
-        F.sum(F.col("price_usd") - F.col("cogs_usd")).cast("decimal(18,2)").alias("total_margin"),
+        F.sum("revenue").cast("decimal(18,2)").alias("total_revenue"),
+        F.sum("margin").cast("decimal(18,2)").alias("total_margin"),
     )
 
 
@@ -49,16 +58,17 @@ def product_launch(
     t: Tables, *, after: str = "2012-04-01", before: str = "2013-04-05", product_ids: Sequence[int] = (1, 2)
 ) -> DataFrame:
     """Monthly sessions, orders, conversion, revenue per session and orders
-    per primary product."""
+    per primary product.  Sessions and orders are distinct; revenue and orders
+    per product count joined rows."""
     per_product = [count_if(F.col("primary_product_id") == k, "order_id").alias(f"p{k}") for k in product_ids]
-    s = t.S.filter(in_range(t.S, after=after, before=before)).select(SID, "created_at")
-    j = s.join(order_facts(t.O, *per_product), SID, "left")
-    return j.groupBy(F.year("created_at").alias("yr"), F.month("created_at").alias("mo")).agg(
+    s = t.S.filter(in_range(t.S, after=after, before=before))
+    months = key_grain(t, "website_sessions", s, {"yr": F.year("created_at"), "mo": F.month("created_at")})
+    return with_orders(t, months, ["yr", "mo"], *per_product).groupBy("yr", "mo").agg(
         F.count(SID).alias("sessions"),
         F.sum(_zero("n_orders")).alias("orders"),
         ratio(F.sum(_zero("n_orders")), F.count(SID)).alias("con_rate"),
-        ratio(F.sum("revenue"), F.count(SID)).alias("revenue_per_session"),
-        *[F.sum(_zero(f"p{k}")).alias(f"product{k}_orders") for k in product_ids],
+        ratio(F.sum(F.col(TIMES) * F.col("revenue")), F.count(SID)).alias("revenue_per_session"),
+        *[F.sum(_zero(TIMES) * _zero(f"p{k}")).alias(f"product{k}_orders") for k in product_ids],
     )
 
 
@@ -118,20 +128,15 @@ def product_funnel_pages(
     """Distinct URLs seen in sessions that viewed a product page in the window.
     As in a left join, product views without a session id add a NULL URL.
 
-    One pass: each session keeps its set of URLs and whether it qualifies.  Both
-    are partially aggregated before the exchange, so a hot session ships its
-    distinct URLs once per map task and is bounded by the site's pages, not by
-    its views."""
-    url = F.col(URL)
-    viewed = in_range("created_at", after=after, before=before) & url.isin(*product_urls)
-    per_session = t.P.groupBy(SID).agg(
-        F.collect_set(url).alias("urls"),
-        F.max(F.when(viewed, 1)).alias("viewed"),
-        F.max(F.when(url.isNull(), 1)).alias("unnamed"),
-    )
-    none = F.array(F.lit(None).cast("string"))
-    pages = F.when(F.col(SID).isNull(), none).when(F.col("unnamed") == 1, F.concat("urls", none)).otherwise(F.col("urls"))
-    return per_session.filter(F.col("viewed") == 1).select(F.explode(pages).alias(URL)).distinct()
+    The window comes first: its filter reaches the scan, and its sessions reduce
+    the (session, URL) pairs of all time, each of them one row however often it
+    was viewed, before these become URLs."""
+    viewed = t.P.filter(in_range(t.P, after=after, before=before) & F.col(URL).isin(*product_urls)).select(SID)
+    sessions = viewed.filter(F.col(SID).isNotNull()).distinct()
+    seen = t.of_sessions(t.P.filter(F.col(SID).isNotNull()), sessions).select(SID, URL).distinct()
+    pages = seen.join(sessions, SID, "left_semi").select(URL)
+    unnamed = viewed.filter(F.col(SID).isNull()).select(F.lit(None).cast("string").alias(URL))
+    return pages.unionByName(unnamed).distinct()
 
 
 def product_funnels(
@@ -202,7 +207,7 @@ def cross_sell(
             F.count(F.when(post & (url == SHIPPING), F.col(SID))).alias("ship_post"),
         )
     )
-    j = v.join(order_facts(t.O), SID, "left")
+    j = v.join(order_facts(t.of_sessions(t.O, v)), SID, "left")
     e = explode_periods(
         j,
         {"pre_change": ["n_pre", "cart_pre", "ship_pre"], "post_change": ["n_post", "cart_post", "ship_post"]},
@@ -226,15 +231,15 @@ def portfolio_expansion(
     t: Tables, *, after: str = "2013-11-12", before: str = "2014-01-12", split: str = "2013-12-12"
 ) -> DataFrame:
     """Conversion, items per order, revenue per session and order value
-    before/after ``split``, over distinct (session, order, period) rows; a
-    session with views on both sides of the split appears in both periods."""
+    before/after ``split``, over distinct (session, order, items, price, period)
+    rows; a session with views on both sides of the split appears in both periods."""
     ts, s = F.col("created_at"), F.lit(split).cast("timestamp_ntz")
     v = (
         t.P.filter(in_range(t.P, after=after, before=before))
         .groupBy(SID)
         .agg(F.count(F.when(ts <= s, 1)).alias("n_pre"), F.count(F.when(~(ts <= s), 1)).alias("n_post"))
     )
-    j = v.join(order_facts(t.O), SID, "left")
+    j = v.join(order_facts(distinct_order_rows(t, t.of_sessions(t.O, v))), SID, "left")
     e = explode_periods(j, {"pre_change": ["n_pre"], "post_change": ["n_post"]}, ["n"])
     # rows are counted by session id: those without one keep their period but count 0
     rows = F.sum(F.when(F.col(SID).isNull(), 0).otherwise(left_join_weight()))

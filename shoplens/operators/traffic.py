@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions import count_if, in_range, ratio, sunday_week
+from shoplens.functions import in_range, ratio, sunday_week
 from shoplens.model import Tables
-from shoplens.plans.session_facts import SID, order_facts
+from shoplens.plans.distinct import key_grain, with_orders
+from shoplens.plans.session_facts import SID
 
 SOURCE_KEYS = ("utm_source", "utm_campaign", "http_referer")
 
@@ -17,8 +18,7 @@ SOURCE_KEYS = ("utm_source", "utm_campaign", "http_referer")
 def top_traffic_sources(t: Tables, *, before: str = "2012-04-12", by: Sequence[str] = SOURCE_KEYS) -> DataFrame:
     """Sessions per source/campaign/referer (NULLs form their own groups)."""
     s = t.S.filter(in_range(t.S, before=before))
-    # website_session_id is the key of sessions: count = distinct count
-    return s.groupBy(*by).agg(F.count(SID).alias("sessions")).orderBy(F.desc("sessions"))
+    return key_grain(t, "website_sessions", s, by).groupBy(*by).agg(F.count(SID).alias("sessions")).orderBy(F.desc("sessions"))
 
 
 def conversion(
@@ -32,8 +32,8 @@ def conversion(
     """Sessions, orders and session-to-order conversion per ``by`` for the
     sessions started in the window; their orders count whenever placed.
     Distinct counts: a session with two orders is one session, two orders."""
-    s = t.S.filter(in_range(t.S, after=after, from_=from_, before=before)).select(SID, *by)
-    j = s.join(order_facts(t.O), SID, "left")
+    s = t.S.filter(in_range(t.S, after=after, from_=from_, before=before))
+    j = with_orders(t, key_grain(t, "website_sessions", s, by), by)
     sessions, orders = F.count(SID), F.coalesce(F.sum("n_orders"), F.lit(0))
     return j.groupBy(*by).agg(
         sessions.alias("sessions"), orders.alias("orders"), ratio(orders, sessions).alias("conv_rate")
@@ -56,11 +56,8 @@ def traffic_source_trend(
     s = t.S.filter(
         in_range(t.S, before=before) & (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)
     )
-    return (
-        s.groupBy(sunday_week("created_at").alias("wk"))
-        .agg(F.min("created_at").alias("start_date"), F.count(SID).alias("sessions"))
-        .drop("wk")
-    )
+    weeks = key_grain(t, "website_sessions", s, {"wk": sunday_week("created_at")}, start=("min", F.col("created_at")))
+    return weeks.groupBy("wk").agg(F.min("start").alias("start_date"), F.count(SID).alias("sessions")).drop("wk")
 
 
 def device_conversion(t: Tables, *, before: str = "2012-05-11") -> DataFrame:
@@ -82,8 +79,12 @@ def device_weekly_trend(
         & (F.col("utm_source") == source)
         & (F.col("utm_campaign") == campaign)
     )
-    return s.groupBy(sunday_week("created_at").alias("week_num")).agg(
-        F.min(F.to_date("created_at")).alias("start_data"),
-        count_if(F.col("device_type") == "mobile", SID).alias("mobile_sessions"),
-        count_if(F.col("device_type") == "desktop", SID).alias("desktop_sessions"),
+    devices = {d: ("max", F.when((F.col("device_type") == d) & F.col(SID).isNotNull(), 1)) for d in ("mobile", "desktop")}
+    weeks = key_grain(
+        t, "website_sessions", s, {"week_num": sunday_week("created_at")}, day=("min", F.to_date("created_at")), **devices
+    )
+    return weeks.groupBy("week_num").agg(
+        F.min("day").alias("start_data"),
+        F.count("mobile").alias("mobile_sessions"),
+        F.count("desktop").alias("desktop_sessions"),
     )

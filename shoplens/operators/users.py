@@ -66,7 +66,7 @@ def new_vs_repeat_performance(
     """Conversion and revenue per session for new vs repeat sessions
     (joined-row counts, as a plain left join gives)."""
     s = t.S.filter(in_range(t.S, from_=from_, before=before)).select(SID, "is_repeat_session")
-    j = s.join(order_facts(t.O), SID, "left")
+    j = s.join(order_facts(t.of_sessions(t.O, s)), SID, "left")
     rows = F.sum(left_join_weight())
     return j.groupBy("is_repeat_session").agg(
         rows.alias("sessions"),

@@ -5,18 +5,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions import count_if, date_in_range, in_range, named_urls, ratio, sunday_week
 from shoplens.model import Tables
+from shoplens.plans.distinct import sessions_where, with_orders
 from shoplens.plans.session_facts import (
     PVID,
     SID,
     URL,
     explode_periods,
     first_views,
-    order_facts,
     url_counts,
     with_bounce,
 )
@@ -65,7 +65,7 @@ def top_entry_pages(t: Tables, *, before: str = "2012-06-12") -> DataFrame:
 
 
 def _bounce_flag(sessions: DataFrame, t: Tables) -> DataFrame:
-    return with_bounce(sessions, t.P)
+    return with_bounce(sessions, t.of_sessions(t.P, sessions))
 
 
 def home_bounce_rate(t: Tables, *, before: str = "2012-06-14", landing: str = HOME) -> DataFrame:
@@ -107,10 +107,6 @@ def billing_first_seen(t: Tables, *, url: str = BILLING_2) -> DataFrame:
     return first_seen(t, url)
 
 
-def _sessions_of(t: Tables, cond: Column) -> DataFrame:
-    return t.S.filter(cond).select(SID)
-
-
 def landing_page_test(
     t: Tables,
     *,
@@ -124,7 +120,7 @@ def landing_page_test(
     on calendar dates of the pageviews."""
     pw = t.P.filter(date_in_range(t.P, from_=from_date, before=before_date))
     first = first_views(pw, landings=landings).join(
-        _sessions_of(t, (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)), SID
+        sessions_where(t, (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)), SID
     )
     landed = _bounce_flag(first.filter(F.col("landing_page").isNotNull()).select(SID, "landing_page"), t)
     total, bounces = F.count(SID), F.sum("bounce_or_not").cast("long")
@@ -148,7 +144,7 @@ def landing_page_weekly_trend(
     pages = named_urls(landings, LANDING_NAMES)
     pw = t.P.filter(date_in_range(t.P, after=after_date, before=before_date))
     first = first_views(pw, F.min(F.to_date("created_at")).alias("created_date"), landings=list(pages.values())).join(
-        _sessions_of(t, (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)), SID
+        sessions_where(t, (F.col("utm_source") == source) & (F.col("utm_campaign") == campaign)), SID
     )
     b = _bounce_flag(first.select(SID, "landing_page", "created_date"), t)
     return b.groupBy(sunday_week("created_date").alias("week_num")).agg(
@@ -187,9 +183,9 @@ def session_click_funnel(
     funnel page (views, not 0/1 flags; pageviews are not date-bounded)."""
     landing, steps = _funnel_steps(landing, steps)
     pw = t.P.filter(in_range(t.P, after=after, before=before))
-    first = first_views(pw, landings=[landing]).join(_sessions_of(t, F.col("utm_source") == source), SID)
+    first = first_views(pw, landings=[landing]).join(sessions_where(t, F.col("utm_source") == source), SID)
     landed = first.filter(F.col("landing_page") == landing).select(SID)
-    counts = url_counts(t.P, steps)
+    counts = url_counts(t.of_sessions(t.P, landed), steps)
     names = list(steps)
     return landed.join(counts, SID, "left").select(
         SID, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names]
@@ -252,8 +248,8 @@ def billing_page_test(
         .groupBy(SID)
         .agg(*[F.count(F.when(F.col(URL) == u, 1)).alias(f"v{i}") for i, u in enumerate(urls)])
     )
-    j = seen.join(order_facts(t.O), SID, "left")
-    per_version = explode_periods(j, {u: [f"v{i}"] for i, u in enumerate(urls)}, ["n"], label="billing_version")
+    per_version = explode_periods(seen, {u: [f"v{i}"] for i, u in enumerate(urls)}, ["n"], label="billing_version")
+    per_version = with_orders(t, per_version, ["billing_version"])
     sessions, orders = F.count(SID), F.coalesce(F.sum("n_orders"), F.lit(0))
     return per_version.groupBy("billing_version").agg(
         sessions.alias("sessions"), orders.alias("orders"), ratio(orders, sessions).alias("billing_to_order_rate")

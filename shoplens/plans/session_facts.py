@@ -88,8 +88,8 @@ def order_facts(orders: DataFrame, *extra: Column) -> DataFrame:
     """Per session: joined-row count, order count and money totals.
 
     ``n_rows`` is the number of order rows of the session (what a left join
-    multiplies by); ``n_orders`` counts non-null order ids, which - the id
-    being the key of ``orders`` - is also the distinct count."""
+    multiplies by); ``n_orders`` counts non-null order ids, which is the distinct
+    count where the id is a declared key (see ``shoplens.plans.distinct``)."""
     return orders.groupBy(SID).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("order_id").alias("n_orders"),

@@ -6,18 +6,23 @@ catalog tables).  ``from_driver_dir`` derives the tables from the driver's
 repeated use; ``write_bucketed_tables`` buckets pageviews, sessions and
 orders by ``website_session_id`` so that the session-keyed joins and
 aggregations of the analyses read co-partitioned data without a shuffle.
+
+Keys: the writers store which primary keys are declared unique
+(``Tables.unique``) as metadata of the key column, and the readers restore it.
+A reader can also be told which keys to check and declare.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions.exprs import MONTH
-from shoplens.model import TABLE_SCHEMAS, Tables
+from shoplens.model import PRIMARY_KEYS, TABLE_SCHEMAS, Tables
 from shoplens.sources.fixture import derive_tables
 
 # bucket key per table: the session key for the web tables and orders, the
@@ -31,10 +36,43 @@ BUCKET_KEYS = {
 }
 
 
-def read_parquet_tables(spark: SparkSession, path: str) -> Tables:
-    """Five Parquet folders ``<path>/<table name>``."""
-    dfs = {name: spark.read.parquet(os.path.join(path, name)) for name in TABLE_SCHEMAS}
-    return Tables(**dfs).validate()
+_UNIQUE = "unique"
+
+
+def _is_marked(df: DataFrame, name: str) -> bool:
+    return name in PRIMARY_KEYS and bool(df.schema[PRIMARY_KEYS[name]].metadata.get(_UNIQUE))
+
+
+def _marked(df: DataFrame, name: str, unique: Iterable[str]) -> DataFrame:
+    """``df`` with its key's constraint in the column metadata, which Parquet and the catalog keep."""
+    key = PRIMARY_KEYS.get(name)
+    return df.withMetadata(key, {_UNIQUE: name in unique}) if key else df
+
+
+def _as_tables(dfs: Mapping[str, DataFrame], unique: Iterable[str] | None) -> Tables:
+    tables = Tables(**dfs).validate()
+    if unique is not None:
+        return tables.declare_unique(unique)
+    return tables.declare_unique([n for n, df in dfs.items() if _is_marked(df, n)], check=False)
+
+
+def _folder(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One stored table.  A table without rows that was stored by month has no file to tell its columns."""
+    try:
+        return spark.read.parquet(os.path.join(path, name))
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.read.schema(TABLE_SCHEMAS[name]).parquet(os.path.join(path, name))
+
+
+def read_parquet_tables(spark: SparkSession, path: str, *, unique: Iterable[str] | None = None) -> Tables:
+    """Five Parquet folders ``<path>/<table name>``.
+
+    By default the keys that the writer declared are taken over.  ``unique``
+    names the tables whose keys to check now and declare (none: an empty list);
+    a key that does not hold raises ``ValueError``."""
+    return _as_tables({name: _folder(spark, path, name) for name in TABLE_SCHEMAS}, unique)
 
 
 def _qualified(spark: SparkSession, database: str | None, name: str) -> str:
@@ -43,16 +81,26 @@ def _qualified(spark: SparkSession, database: str | None, name: str) -> str:
     return f"{database or spark.catalog.currentDatabase()}.{name}"
 
 
-def read_catalog_tables(spark: SparkSession, database: str | None = None) -> Tables:
-    """Five tables registered in the session catalog (current database by default)."""
-    return Tables(**{name: spark.table(_qualified(spark, database, name)) for name in TABLE_SCHEMAS}).validate()
+def read_catalog_tables(
+    spark: SparkSession, database: str | None = None, *, unique: Iterable[str] | None = None
+) -> Tables:
+    """Five tables registered in the session catalog (current database by
+    default); ``unique`` as for ``read_parquet_tables``."""
+    return _as_tables({name: spark.table(_qualified(spark, database, name)) for name in TABLE_SCHEMAS}, unique)
 
 
 def from_driver_dir(spark: SparkSession, sf_dir: str) -> Tables:
-    """Derive the five tables from ``<sf_dir>/events.parquet`` and ``part.parquet``."""
+    """Derive the five tables from ``<sf_dir>/events.parquet`` and ``part.parquet``.
+
+    Their keys are unique by construction: ids of events, one row per group of
+    events, and one per slot of an order."""
     events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
     part = spark.read.parquet(os.path.join(sf_dir, "part.parquet"))
-    return derive_tables(events, part)
+    return derive_tables(events, part).declare_unique(check=False)
+
+
+def _month_of(ts: str) -> Column:
+    return (F.year(ts) * 100 + F.month(ts)).cast("int")
 
 
 def write_parquet_tables(tables: Tables, path: str, *, mode: str = "errorifexists", by_month: bool = True) -> None:
@@ -62,17 +110,34 @@ def write_parquet_tables(tables: Tables, path: str, *, mode: str = "errorifexist
     statistics prune row groups as well.
 
     Rows are rebalanced by month before the write: a large month is written by
-    several tasks, and no task writes a file for every month."""
+    several tasks, and no task writes a file for every month.
+
+    With ``mode="append"``, a key that the stored table declares must hold over
+    old and new rows together: that is checked before anything is written."""
+    unique = _appendable(tables, path) if mode == "append" else tables.unique
     for name, df in tables.as_dict().items():
+        df = _marked(df, name, unique)
         if not (by_month and "created_at" in df.columns):
             out = df.sortWithinPartitions("created_at") if "created_at" in df.columns else df
             out.write.mode(mode).parquet(os.path.join(path, name))
             continue
-        month = (F.year("created_at") * 100 + F.month("created_at")).cast("int")
-        out = df.withColumn(MONTH, month).hint("rebalance", MONTH).sortWithinPartitions(MONTH, "created_at")
+        out = df.withColumn(MONTH, _month_of("created_at")).hint("rebalance", MONTH).sortWithinPartitions(MONTH, "created_at")
         out.write.mode(mode).partitionBy(MONTH).parquet(os.path.join(path, name))
 
 
+def _appendable(tables: Tables, path: str) -> set[str]:
+    """The keys that stored and new rows declare, checked over both."""
+    spark = tables.S.sparkSession
+    both, declared = {}, set()
+    for name, df in tables.as_dict().items():
+        old = _folder(spark, path, name)
+        both[name] = old.drop(MONTH).unionByName(df.drop(MONTH))
+        if _is_marked(old, name):
+            declared.add(name)
+    Tables(**both).declare_unique(declared)
+    return declared
+
+
 def bucket_skew(df: DataFrame, key: str, buckets: int) -> tuple[float, int]:
     """How unevenly ``df`` would fill ``buckets`` buckets on ``key``:
     ``(largest bucket / mean bucket, rows of the largest bucket)``.
@@ -95,6 +160,7 @@ def write_bucketed_tables(
     database: str | None = None,
     mode: str = "errorifexists",
     layout: Mapping[str, str] | None = None,
+    by_month: bool = False,
 ) -> Tables:
     """Catalog tables at ``path``, bucketed with one bucket count: sessions,
     pageviews and orders by ``website_session_id``, items and refunds by
@@ -111,19 +177,29 @@ def write_bucketed_tables(
     states ``layout={"website_pageviews": "plain"}``.  A plain table's
     session-keyed aggregates run as on plain Parquet: partial aggregation per
     map task, then a shuffle of one row per session per task, whatever the
-    session's size.  The layout never depends on the data."""
+    session's size.  The layout never depends on the data.
+
+    ``by_month`` stores tables with a time by month as well, with the buckets
+    inside each month: a window opens the files of its own months only, and the
+    session-keyed joins still need no exchange.  A bucket then is a file per
+    month, so this is for tables whose months fill their buckets (at least a
+    few MB a file: choose fewer buckets otherwise)."""
     layout = dict(layout or {})
     unknown = set(layout) - set(BUCKET_KEYS) | {v for v in layout.values() if v not in ("plain", "bucketed")}
     if unknown:
         raise ValueError(f"unknown table or layout: {sorted(unknown)}")
     for name, df in tables.as_dict().items():
-        df = df.drop(MONTH)
+        df = _marked(df.drop(MONTH), name, tables.unique)
         key = BUCKET_KEYS[name]
+        months = by_month and "created_at" in df.columns
+        if months:
+            df = df.withColumn(MONTH, _month_of("created_at"))
         sort_col = "created_at" if "created_at" in df.columns else key
         if layout.get(name) == "plain":
             # rebalance: AQE cuts the rows into advisory-size files, splitting
             # any partition the input's own layout made skewed
-            w = df.hint("rebalance").sortWithinPartitions(sort_col).write.mode(mode).format("parquet")
+            spread = df.hint("rebalance", MONTH) if months else df.hint("rebalance")
+            w = spread.sortWithinPartitions(*[MONTH] * months, sort_col).write.mode(mode).format("parquet")
         else:
             w = (
                 df.repartition(buckets, key)
@@ -132,5 +208,6 @@ def write_bucketed_tables(
                 .bucketBy(buckets, key)
                 .sortBy(sort_col)
             )
+        w = w.partitionBy(MONTH) if months else w
         w.option("path", os.path.join(path, name)).saveAsTable(_qualified(spark, database, name))
     return read_catalog_tables(spark, database)

@@ -1,6 +1,6 @@
 """Property check: on random five-table data with heavy fan-out (several
 orders per session, repeated page views, several refund rows per item,
-pageview ids out of time order) and NULLs (sources, referers, URLs, pageview
+pageview ids out of time order, sessions and orders stored several times) and NULLs (sources, referers, URLs, pageview
 times, users, order sessions, item products) every analysis equals the plain
 relational DuckDB statement run over the very same rows."""
 
@@ -81,10 +81,29 @@ def random_rows(seed: int, n_sessions: int = 1500):
 DUCK_NAMES = {"orders": "m_orders"}
 
 
-@pytest.fixture(scope="module", params=[7, 11])
+def with_repeats(rows, seed: int):
+    """Sessions and orders stored several times: exact copies, and rows of the
+    same id with another time, source, session, price or product."""
+    rnd = random.Random(seed)
+    sessions, orders = rows["website_sessions"], rows["orders"]
+    later = lambda t: t + dt.timedelta(seconds=rnd.randrange(60 * 86400))
+    more = [rnd.choice(sessions) for _ in range(len(sessions) // 4)]
+    more += [(s[0], later(s[1]), s[2], 1 - s[3], rnd.choice(SOURCES), rnd.choice(CAMPAIGNS), *s[6:]) for s in more[::3]]
+    again = [rnd.choice(orders) for _ in range(len(orders) // 4)]
+    again += [(o[0], later(o[1]), rnd.choice(sessions)[0], o[3], rnd.randint(1, 4), o[5], o[6] + 1, o[7]) for o in again[::3]]
+    again += [(o[0], o[1], o[2], o[3], o[4], o[5], o[6] + 2, o[7]) for o in again[1::5]]
+    return rows | {"website_sessions": sessions + more, "orders": orders + again}
+
+
+@pytest.fixture(scope="module", params=["keys-7", "keys-11", "declared-7", "repeats-7", "repeats-13"])
 def data(request, spark):
-    rows = random_rows(request.param)
+    kind, seed = request.param.split("-")
+    rows = random_rows(int(seed))
+    if kind == "repeats":
+        rows = with_repeats(rows, int(seed))
     tables = Tables(**{n: spark.createDataFrame(r, TABLE_SCHEMAS[n]) for n, r in rows.items()})
+    if kind == "declared":
+        tables = tables.declare_unique()
     con = duckdb.connect()
     for name, r in rows.items():
         cols = [f.name for f in TABLE_SCHEMAS[name].fields]

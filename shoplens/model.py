@@ -99,7 +99,11 @@ class Tables:
     ``reducer`` (a ``shoplens.plans.reducer.Reducer``) turns on the explicit
     semi-join reduction of whole-history tables by a window's sessions.  It
     costs a count of those sessions when an analysis is built, so it is for
-    tables whose history is far larger than the windows asked for."""
+    tables whose history is far larger than the windows asked for.
+
+    ``states`` (a ``shoplens.plans.partials.SessionStates``) gives the undated
+    pageview counts of the bounce and funnel analyses from stored partial
+    states instead of raw pageviews.  They must cover the same pageviews."""
 
     website_sessions: DataFrame
     website_pageviews: DataFrame
@@ -108,6 +112,7 @@ class Tables:
     order_item_refunds: DataFrame
     unique: frozenset[str] = frozenset()
     reducer: Any = None
+    states: Any = None
 
     # short aliases used throughout the operators
     @property

@@ -77,6 +77,24 @@ def _joined_count(cond: Column) -> Column:
     return F.count(F.when(cond & F.col(SID).isNotNull(), 1))
 
 
+def _windowed_and_undated(
+    t: Tables, window: Column, relevant: Column, windowed: Sequence[Column], undated: Mapping[str, str | Sequence[str]]
+) -> DataFrame:
+    """Per session: the ``windowed`` aggregates, and the views of all time of
+    each URL (or URL set) in ``undated``.
+
+    From raw pageviews that is one grouped aggregate over the ``relevant``
+    views of all time.  With stored states only the views in the ``window`` are
+    read, and the undated counts come from the states."""
+    if t.states:
+        seen = t.P.filter(window).groupBy(SID).agg(*windowed)
+        counts = t.states.url_counts(undated)
+        return seen.join(counts, SID, "left").select(*seen.columns, *[_zero(name).alias(name) for name in undated])
+    urls = {name: [u] if isinstance(u, str) else list(u) for name, u in undated.items()}
+    counts = [_joined_count(F.col(URL).isin(*us)).alias(name) for name, us in urls.items()]
+    return t.P.filter(relevant).groupBy(SID).agg(*windowed, *counts)
+
+
 def product_pathing(
     t: Tables,
     *,
@@ -94,18 +112,18 @@ def product_pathing(
     product-page views.
 
     One pass: a single grouped aggregate per session holds the windowed
-    ``from_url`` views of both periods and the undated product views."""
+    ``from_url`` views of both periods and the undated product views (which
+    stored states give, if there are any)."""
     ts, s, url = F.col("created_at"), F.lit(split).cast("timestamp_ntz"), F.col(URL)
     targets = named_urls(to_urls, PATH_NAMES)
     start = in_range("created_at", after=after, before=before) & (url == from_url)
-    per_session = (
-        t.P.filter(url.isin(from_url, *targets.values()))
-        .groupBy(SID)
-        .agg(
-            F.count(F.when(start & (ts < s), 1)).alias("k_a"),
-            F.count(F.when(start & (ts >= s), 1)).alias("k_b"),
-            *[_joined_count(url == u).alias(f"m_{name}") for name, u in targets.items()],
-        )
+    starts = [F.count(F.when(start & (ts < s), 1)).alias("k_a"), F.count(F.when(start & (ts >= s), 1)).alias("k_b")]
+    per_session = _windowed_and_undated(
+        t,
+        in_range(t.P, after=after, before=before) & (url == from_url),
+        url.isin(from_url, *targets.values()),
+        starts,
+        {f"m_{name}": u for name, u in targets.items()},
     )
     e = explode_periods(per_session, {labels[0]: ["k_a"], labels[1]: ["k_b"]}, ["k"])
     views = {name: F.col(f"m_{name}") for name in targets}
@@ -153,19 +171,18 @@ def product_funnels(
     ``k``.
 
     One pass: a single grouped aggregate per session holds the windowed views
-    per product and the undated step counts."""
+    per product and the undated step counts (which stored states give, if there
+    are any)."""
     products = named_urls(product_urls, FUNNEL_NAMES)
     url = F.col(URL)
     window = in_range("created_at", after=after, before=before)
     steps = {"p_cart": CART, "p_shipping": SHIPPING, "p_billing": billing_url, "p_ty": THANK_YOU}
-    per_session = (
-        t.P.filter(url.isin(*products.values(), *steps.values()))
-        .groupBy(SID)
-        .agg(
-            *[F.count(F.when(window & (url == u), 1)).alias(f"k_{i}") for i, u in enumerate(products.values())],
-            _joined_count(url.isin(*products.values())).alias("p_main"),
-            *[_joined_count(url == u).alias(name) for name, u in steps.items()],
-        )
+    per_session = _windowed_and_undated(
+        t,
+        in_range(t.P, after=after, before=before) & url.isin(*products.values()),
+        url.isin(*products.values(), *steps.values()),
+        [F.count(F.when(window & (url == u), 1)).alias(f"k_{i}") for i, u in enumerate(products.values())],
+        {"p_main": list(products.values()), **steps},
     )
     periods = {name: [f"k_{i}"] for i, name in enumerate(products)}
     e = explode_periods(per_session, periods, ["k"], label="products")

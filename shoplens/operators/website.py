@@ -18,6 +18,7 @@ from shoplens.plans.session_facts import (
     explode_periods,
     first_views,
     url_counts,
+    view_counts,
     with_bounce,
 )
 
@@ -65,14 +66,22 @@ def top_entry_pages(t: Tables, *, before: str = "2012-06-12") -> DataFrame:
 
 
 def _bounce_flag(sessions: DataFrame, t: Tables) -> DataFrame:
-    return with_bounce(sessions, t.of_sessions(t.P, sessions))
+    if t.states:
+        return with_bounce(sessions, t.states.view_counts())
+    return with_bounce(sessions, view_counts(t.of_sessions(t.P, sessions)))
 
 
 def home_bounce_rate(t: Tables, *, before: str = "2012-06-14", landing: str = HOME) -> DataFrame:
     """Bounce rate of sessions landing on ``landing`` (one row).
 
     One pass: a single grouped aggregate per session holds whether its lowest
-    windowed pageview id is a view of ``landing``, and its undated view count."""
+    windowed pageview id is a view of ``landing``, and its undated view count.
+    With stored states, both come from these, but for the bound's own month."""
+    total, bounces = F.count(SID), F.sum(F.when(F.col("n_views") == 1, 1).otherwise(0)).cast("long")
+    rates = [total.alias("total_sessions"), bounces.alias("bounce_number"), ratio(bounces, total).alias("bounce_rate")]
+    if t.states:
+        first = t.states.first_views(t.P, before).filter(F.col("landing_page") == landing)
+        return first.join(t.states.view_counts(), SID).agg(*rates)
     windowed = F.when(in_range("created_at", before=before), F.col(PVID))
     is_landing = F.when(F.col(URL) == landing, 1).otherwise(0)
     landed = (
@@ -81,10 +90,7 @@ def home_bounce_rate(t: Tables, *, before: str = "2012-06-14", landing: str = HO
         .agg(F.min_by(is_landing, windowed).alias("landed"), F.count(PVID).alias("n_views"))
         .filter(F.col("landed") == 1)
     )
-    total, bounces = F.count(SID), F.sum(F.when(F.col("n_views") == 1, 1).otherwise(0)).cast("long")
-    return landed.agg(
-        total.alias("total_sessions"), bounces.alias("bounce_number"), ratio(bounces, total).alias("bounce_rate")
-    )
+    return landed.agg(*rates)
 
 
 def first_seen(t: Tables, url: str, *, names: tuple[str, str] = ("first_created_at", "first_pv_id"),
@@ -185,7 +191,7 @@ def session_click_funnel(
     pw = t.P.filter(in_range(t.P, after=after, before=before))
     first = first_views(pw, landings=[landing]).join(sessions_where(t, F.col("utm_source") == source), SID)
     landed = first.filter(F.col("landing_page") == landing).select(SID)
-    counts = url_counts(t.of_sessions(t.P, landed), steps)
+    counts = t.states.url_counts(steps) if t.states else url_counts(t.of_sessions(t.P, landed), steps)
     names = list(steps)
     return landed.join(counts, SID, "left").select(
         SID, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names]

@@ -52,14 +52,14 @@ def view_counts(pageviews: DataFrame) -> DataFrame:
     return pageviews.groupBy(SID).agg(F.count(PVID).alias("n_views"))
 
 
-def with_bounce(sessions: DataFrame, pageviews: DataFrame) -> DataFrame:
+def with_bounce(sessions: DataFrame, counts: DataFrame) -> DataFrame:
     """Attach ``bounce_or_not``: 1 when the session has exactly one pageview
-    in the whole table (the count is deliberately not date-bounded).
+    in the whole table (``view_counts``, deliberately not date-bounded).
 
     Inner join: every session given here came from a pageview, so its count
     is >= 1 and nothing is lost; an inner join also lets AQE broadcast the
     smaller side."""
-    return sessions.join(view_counts(pageviews), SID).withColumn(
+    return sessions.join(counts, SID).withColumn(
         "bounce_or_not", F.when(F.col("n_views") == 1, 1).otherwise(0)
     )
 

@@ -14,6 +14,7 @@ from shoplens.operators.channel import (
     cross_channel_conversion,
     free_channel_trend,
 )
+from shoplens.operators.general import bounce, funnel, period_compare, variant_test
 from shoplens.operators.product import (
     cross_sell,
     portfolio_expansion,
@@ -105,6 +106,6 @@ def run(name: str, tables: Tables, **params) -> DataFrame:
 
 
 # general forms the analyses are built from (not part of the registry)
-GENERAL = {"conversion": conversion, "first_seen": first_seen}
+GENERAL = {f.__name__: f for f in (conversion, first_seen, bounce, funnel, variant_test, period_compare)}
 
 __all__ = ["OPERATORS", "GENERAL", "run", *OPERATORS, *GENERAL]

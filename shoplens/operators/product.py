@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from shoplens.functions import count_if, in_range, named_urls, ratio, sum_if
 from shoplens.model import Tables
 from shoplens.plans.distinct import TIMES, distinct_order_rows, key_grain, with_orders
+from shoplens.plans.periods import Periods
+from shoplens.plans.pivot import found_values
 from shoplens.plans.session_facts import (
     SID,
     URL,
@@ -30,6 +32,7 @@ CART = "/cart"
 SHIPPING = "/shipping"
 BILLING_2 = "/billing-2"
 THANK_YOU = "/thank-you-for-your-order"
+CHANGE = ("pre_change", "post_change")
 
 
 def _zero(c: str):
@@ -55,11 +58,14 @@ def product_sales(t: Tables, *, before: str = "2013-01-04") -> DataFrame:
 
 
 def product_launch(
-    t: Tables, *, after: str = "2012-04-01", before: str = "2013-04-05", product_ids: Sequence[int] = (1, 2)
+    t: Tables, *, after: str = "2012-04-01", before: str = "2013-04-05", product_ids: Sequence[int] | None = (1, 2)
 ) -> DataFrame:
     """Monthly sessions, orders, conversion, revenue per session and orders
     per primary product.  Sessions and orders are distinct; revenue and orders
-    per product count joined rows."""
+    per product count joined rows.  ``product_ids=None`` makes a column for every
+    product found among the orders."""
+    if product_ids is None:
+        product_ids = found_values(t.O, "primary_product_id")
     per_product = [count_if(F.col("primary_product_id") == k, "order_id").alias(f"p{k}") for k in product_ids]
     s = t.S.filter(in_range(t.S, after=after, before=before))
     months = key_grain(t, "website_sessions", s, {"yr": F.year("created_at"), "mo": F.month("created_at")})
@@ -100,32 +106,31 @@ def product_pathing(
     *,
     after: str = "2012-10-06",
     before: str = "2013-04-06",
-    split: str = "2013-01-06",
+    split: str | Sequence[str] = "2013-01-06",
     from_url: str = PRODUCTS,
     to_urls: Mapping[str, str] | Sequence[str] = PRODUCT_URLS,
-    labels: tuple[str, str] = ("A_Pre_Product2", "B_Post_Product2"),
+    labels: Sequence[str] | None = None,
 ) -> DataFrame:
     """Click-through from ``from_url`` to any number of product pages before
-    and after ``split``.  As in a plain self-join, every ``from_url`` view of a
+    and after ``split`` (or in each of the periods between several splits).  As in a plain self-join, every ``from_url`` view of a
     session is paired with every product-page view of that session (any time),
     so ``to_<name>`` counts pairs while ``product_to_nextpg`` counts distinct
     product-page views.
 
     One pass: a single grouped aggregate per session holds the windowed
-    ``from_url`` views of both periods and the undated product views (which
+    ``from_url`` views of all periods and the undated product views (which
     stored states give, if there are any)."""
-    ts, s, url = F.col("created_at"), F.lit(split).cast("timestamp_ntz"), F.col(URL)
+    url, periods = F.col(URL), Periods.of(split, labels, ("A_Pre_Product2", "B_Post_Product2"))
     targets = named_urls(to_urls, PATH_NAMES)
     start = in_range("created_at", after=after, before=before) & (url == from_url)
-    starts = [F.count(F.when(start & (ts < s), 1)).alias("k_a"), F.count(F.when(start & (ts >= s), 1)).alias("k_b")]
     per_session = _windowed_and_undated(
         t,
         in_range(t.P, after=after, before=before) & (url == from_url),
         url.isin(from_url, *targets.values()),
-        starts,
+        periods.counts("created_at", k=start),
         {f"m_{name}": u for name, u in targets.items()},
     )
-    e = explode_periods(per_session, {labels[0]: ["k_a"], labels[1]: ["k_b"]}, ["k"])
+    e = explode_periods(per_session, periods.columns("k"), ["k"])
     views = {name: F.col(f"m_{name}") for name in targets}
     nextpg = F.sum(sum(views.values(), F.lit(0)))
     cols = []
@@ -203,33 +208,27 @@ def product_funnels(
 
 
 def cross_sell(
-    t: Tables, *, after: str = "2013-08-25", before: str = "2013-10-25", split: str = "2013-09-25"
+    t: Tables,
+    *,
+    after: str = "2013-08-25",
+    before: str = "2013-10-25",
+    split: str | Sequence[str] = "2013-09-25",
+    labels: Sequence[str] | None = None,
 ) -> DataFrame:
     """Cart click-through and order value before/after ``split`` (``<=`` is
-    "pre").  A session's cart/shipping views per period are joined to all of
+    "pre"), or in each of the periods between several splits.  A session's cart/shipping views per period are joined to all of
     its orders, so sessions with several orders weigh several times.  Views
     without a session id are not counted."""
-    ts, s = F.col("created_at"), F.lit(split).cast("timestamp_ntz")
-    pre, post = ts <= s, ~(ts <= s)
-    url = F.col(URL)
+    url, known = F.col(URL), F.col(SID).isNotNull()
+    periods = Periods.of(split, labels, CHANGE, until=True)
+    fields = {"n": F.lit(True), "cart_click": known & (url == CART), "shipping_click": known & (url == SHIPPING)}
     v = (
         t.P.filter(in_range(t.P, after=after, before=before) & url.isin(SHIPPING, CART))
         .groupBy(SID)
-        .agg(
-            F.count(F.when(pre, 1)).alias("n_pre"),
-            F.count(F.when(pre & (url == CART), F.col(SID))).alias("cart_pre"),
-            F.count(F.when(pre & (url == SHIPPING), F.col(SID))).alias("ship_pre"),
-            F.count(F.when(post, 1)).alias("n_post"),
-            F.count(F.when(post & (url == CART), F.col(SID))).alias("cart_post"),
-            F.count(F.when(post & (url == SHIPPING), F.col(SID))).alias("ship_post"),
-        )
+        .agg(*periods.counts("created_at", **fields))
     )
     j = v.join(order_facts(t.of_sessions(t.O, v)), SID, "left")
-    e = explode_periods(
-        j,
-        {"pre_change": ["n_pre", "cart_pre", "ship_pre"], "post_change": ["n_post", "cart_post", "ship_post"]},
-        ["n", "cart_click", "shipping_click"],
-    )
+    e = explode_periods(j, periods.columns(*fields), list(fields))
     wt = left_join_weight()
     carts = F.sum(wt * F.col("cart_click"))
     ships = F.sum(wt * F.col("shipping_click"))
@@ -245,19 +244,22 @@ def cross_sell(
 
 
 def portfolio_expansion(
-    t: Tables, *, after: str = "2013-11-12", before: str = "2014-01-12", split: str = "2013-12-12"
+    t: Tables,
+    *,
+    after: str = "2013-11-12",
+    before: str = "2014-01-12",
+    split: str | Sequence[str] = "2013-12-12",
+    labels: Sequence[str] | None = None,
 ) -> DataFrame:
     """Conversion, items per order, revenue per session and order value
     before/after ``split``, over distinct (session, order, items, price, period)
-    rows; a session with views on both sides of the split appears in both periods."""
-    ts, s = F.col("created_at"), F.lit(split).cast("timestamp_ntz")
-    v = (
-        t.P.filter(in_range(t.P, after=after, before=before))
-        .groupBy(SID)
-        .agg(F.count(F.when(ts <= s, 1)).alias("n_pre"), F.count(F.when(~(ts <= s), 1)).alias("n_post"))
-    )
+    rows; a session with views on both sides of the split appears in both periods
+    (or, with several splits, in each period that it has views in)."""
+    periods = Periods.of(split, labels, CHANGE, until=True)
+    in_window = t.P.filter(in_range(t.P, after=after, before=before))
+    v = in_window.groupBy(SID).agg(*periods.counts("created_at", n=F.lit(True)))
     j = v.join(order_facts(distinct_order_rows(t, t.of_sessions(t.O, v))), SID, "left")
-    e = explode_periods(j, {"pre_change": ["n_pre"], "post_change": ["n_post"]}, ["n"])
+    e = explode_periods(j, periods.columns("n"), ["n"])
     # rows are counted by session id: those without one keep their period but count 0
     rows = F.sum(F.when(F.col(SID).isNull(), 0).otherwise(left_join_weight()))
     n_orders = F.sum(_zero("n_orders"))
@@ -270,15 +272,18 @@ def portfolio_expansion(
 
 
 def product_refund_rates(
-    t: Tables, *, before: str = "2014-10-15", product_ids: Sequence[int] = (1, 2, 3, 4)
+    t: Tables, *, before: str = "2014-10-15", product_ids: Sequence[int] | None = (1, 2, 3, 4)
 ) -> DataFrame:
-    """Monthly orders per product and refunded items per such order.
+    """Monthly orders per product and refunded items per such order;
+    ``product_ids=None`` makes columns for every product found in the window.
 
     The numerator counts refunded item rows, the denominator distinct orders;
     a product without sales in a month gives 0 orders and a NULL rate."""
     items = t.I.filter(in_range(t.I, before=before)).select(
         "order_item_id", "order_id", "product_id", "created_at"
     )
+    if product_ids is None:
+        product_ids = found_values(items, "product_id")
     refunds = t.R.groupBy("order_item_id").agg(F.count("order_id").alias("n_refunded"))
     j = items.join(refunds, "order_item_id", "left")
     # one row per (month, order, product): the distinct-order grain

@@ -103,7 +103,10 @@ class Tables:
 
     ``states`` (a ``shoplens.plans.partials.SessionStates``) gives the undated
     pageview counts of the bounce and funnel analyses from stored partial
-    states instead of raw pageviews.  They must cover the same pageviews."""
+    states instead of raw pageviews.  They must cover the same pageviews.
+
+    ``urls`` is the dictionary of the pageviews' URLs (``shoplens.plans.urls``),
+    which the writers store beside the tables."""
 
     website_sessions: DataFrame
     website_pageviews: DataFrame
@@ -113,6 +116,7 @@ class Tables:
     unique: frozenset[str] = frozenset()
     reducer: Any = None
     states: Any = None
+    urls: DataFrame | None = None
 
     # short aliases used throughout the operators
     @property

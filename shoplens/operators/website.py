@@ -21,6 +21,7 @@ from shoplens.plans.session_facts import (
     view_counts,
     with_bounce,
 )
+from shoplens.plans.urls import KEY, landing_keys, named
 
 # The page paths of the shop's funnel.
 HOME = "/home"
@@ -60,9 +61,16 @@ def top_pages(t: Tables, *, before: str = "2012-06-09") -> DataFrame:
 
 
 def top_entry_pages(t: Tables, *, before: str = "2012-06-12") -> DataFrame:
-    """Sessions per landing page (URL of the session's lowest pageview id)."""
-    first = first_views(t.P.filter(in_range(t.P, before=before)))
-    return first.groupBy(F.col("landing_page")).agg(F.count(SID).alias("sessions_hitting_this_page"))
+    """Sessions per landing page (URL of the session's lowest pageview id).
+
+    With a URL dictionary the aggregate carries the URL's number, and only the
+    counts per page are joined with the URLs."""
+    p = t.P.filter(in_range(t.P, before=before))
+    counts = F.count(SID).alias("sessions_hitting_this_page")
+    if t.urls is not None:
+        per_page = landing_keys(p).groupBy(KEY).agg(counts)
+        return named(per_page, t.urls, "landing_page").select("landing_page", "sessions_hitting_this_page")
+    return first_views(p).groupBy("landing_page").agg(counts)
 
 
 def _bounce_flag(sessions: DataFrame, t: Tables) -> DataFrame:

@@ -10,12 +10,16 @@ aggregations of the analyses read co-partitioned data without a shuffle.
 Keys: the writers store which primary keys are declared unique
 (``Tables.unique``) as metadata of the key column, and the readers restore it.
 A reader can also be told which keys to check and declare.
+
+URLs: the writers store the dictionary of the pageviews' URLs as a sixth table,
+``pageview_urls``; the readers attach it where it exists.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Mapping
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +27,9 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.exprs import MONTH
 from shoplens.model import PRIMARY_KEYS, TABLE_SCHEMAS, Tables
+from shoplens.plans.session_facts import URL
+from shoplens.plans.urls import SCHEMA as URLS_SCHEMA
+from shoplens.plans.urls import check_dictionary, url_dictionary
 from shoplens.sources.fixture import derive_tables
 
 # bucket key per table: the session key for the web tables and orders, the
@@ -66,13 +73,36 @@ def _folder(spark: SparkSession, path: str, name: str) -> DataFrame:
         return spark.read.schema(TABLE_SCHEMAS[name]).parquet(os.path.join(path, name))
 
 
+#: Name of the stored URL dictionary.
+URLS = "pageview_urls"
+
+
+def _stored_urls(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(URLS_SCHEMA).parquet(os.path.join(path, URLS))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _write_urls(tables: Tables, path: str, mode: str, known: DataFrame | None = None) -> None:
+    """Store the URLs of the pageviews, without those ``known`` already, and check the whole dictionary."""
+    urls = url_dictionary(tables.P)
+    if known is not None:
+        urls = urls.join(known.select(URL), URL, "left_anti").select("url_key", URL)
+    urls.write.mode(mode).parquet(os.path.join(path, URLS))
+    check_dictionary(_stored_urls(tables.P.sparkSession, path))
+
+
 def read_parquet_tables(spark: SparkSession, path: str, *, unique: Iterable[str] | None = None) -> Tables:
     """Five Parquet folders ``<path>/<table name>``.
 
     By default the keys that the writer declared are taken over.  ``unique``
     names the tables whose keys to check now and declare (none: an empty list);
     a key that does not hold raises ``ValueError``."""
-    return _as_tables({name: _folder(spark, path, name) for name in TABLE_SCHEMAS}, unique)
+    tables = _as_tables({name: _folder(spark, path, name) for name in TABLE_SCHEMAS}, unique)
+    return replace(tables, urls=_stored_urls(spark, path))
 
 
 def _qualified(spark: SparkSession, database: str | None, name: str) -> str:
@@ -86,7 +116,9 @@ def read_catalog_tables(
 ) -> Tables:
     """Five tables registered in the session catalog (current database by
     default); ``unique`` as for ``read_parquet_tables``."""
-    return _as_tables({name: spark.table(_qualified(spark, database, name)) for name in TABLE_SCHEMAS}, unique)
+    tables = _as_tables({name: spark.table(_qualified(spark, database, name)) for name in TABLE_SCHEMAS}, unique)
+    urls = _qualified(spark, database, URLS)
+    return replace(tables, urls=spark.table(urls) if spark.catalog.tableExists(urls) else None)
 
 
 def from_driver_dir(spark: SparkSession, sf_dir: str) -> Tables:
@@ -115,6 +147,8 @@ def write_parquet_tables(tables: Tables, path: str, *, mode: str = "errorifexist
     With ``mode="append"``, a key that the stored table declares must hold over
     old and new rows together: that is checked before anything is written."""
     unique = _appendable(tables, path) if mode == "append" else tables.unique
+    known = _stored_urls(tables.P.sparkSession, path) if mode == "append" else None
+    _write_urls(tables, path, mode, known)
     for name, df in tables.as_dict().items():
         df = _marked(df, name, unique)
         if not (by_month and "created_at" in df.columns):
@@ -210,4 +244,7 @@ def write_bucketed_tables(
             )
         w = w.partitionBy(MONTH) if months else w
         w.option("path", os.path.join(path, name)).saveAsTable(_qualified(spark, database, name))
+    w = url_dictionary(tables.P).write.mode(mode).format("parquet").option("path", os.path.join(path, URLS))
+    w.saveAsTable(_qualified(spark, database, URLS))
+    check_dictionary(spark.table(_qualified(spark, database, URLS)))
     return read_catalog_tables(spark, database)

@@ -13,13 +13,19 @@ training words of each language.  The training documents are a bounded sample:
 about ``max_train`` documents of each language, chosen by a hash of text and
 language, from those that the caller allows.  Every document is then scored.
 
-Words are maximal runs of letters, lower-cased.  A letter that the vocabulary
-lacks has the same small probability in each language.
+Words are maximal runs of letters (Unicode category L), lower-cased; of a run
+longer than ``MAX_WORD`` letters, as unspaced scripts have, each ``MAX_WORD``
+letters are a word.  Training and scoring read the same words, and the whole
+text.  Letters that the vocabulary lacks share one more piece, so a language that
+is mostly written in them is learned as well.  Probabilities are kept as logarithms or scaled, so that no word is too
+long or too strange for them.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0;
 equal scores go to the language that sorts first; repeated rows are scored
 each; without any training text every document with a letter is ``und`` with
-score 0; an empty table gives no rows; further columns are ignored.
+score 0; null ids count as the empty text in the choice of training documents;
+texts of any length are read whole; an empty table gives no rows; further columns
+are kept, but columns named ``lang_pred`` or ``score`` are replaced.
 """
 
 from __future__ import annotations
@@ -40,10 +46,15 @@ MAX_TRAIN = 800
 ITERATIONS = 2
 #: Least posterior of a text that a filter keeps.
 MIN_SCORE = 0.5
-#: Pseudo-count of every piece and the probability of a letter outside the vocabulary.
+#: Pseudo-count of every piece, and the probability of a letter outside the vocabulary where none is learned.
 SMOOTHING, UNSEEN = 0.05, 1e-9
+#: The part of a single letter in the piece that the letters outside the vocabulary share.
+UNSEEN_LETTER = 1e-4
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters of a run that make a word at the most.
+MAX_WORD = 64
+
+_RUNS = re.compile(r"[^\W\d_]+")
 _START = "▁"
 _M = np.uint64(0x9E3779B97F4A7C15)
 _CACHE_WORDS = 300_000
@@ -59,6 +70,19 @@ def default_vocabulary() -> list[str]:
     return [model.id_to_piece(i) for i in ids if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i))]
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text."""
+    out = []
+    for run in _RUNS.findall(text.lower()):
+        if run.isalpha():
+            parts = [run]
+        else:  # numbers and number-like signs among the letters
+            parts = "".join(c if c.isalpha() else " " for c in run).split()
+        for part in parts:
+            out += [part] if len(part) <= MAX_WORD else [part[i : i + MAX_WORD] for i in range(0, len(part), MAX_WORD)]
+    return out
+
+
 def _codes(words: list[str], length: int) -> np.ndarray:
     """Code points of words of one length, a row each."""
     return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), length).astype(np.uint64)
@@ -108,7 +132,7 @@ class PieceTable:
         return out
 
 
-def _steps(ids: list[np.ndarray], probs: np.ndarray) -> list[list[tuple[int, np.ndarray]]]:
+def _steps(ids: list[np.ndarray], probs: np.ndarray, unseen: float | np.ndarray) -> list[list[tuple[int, np.ndarray]]]:
     """For each end position the (start, probability) pairs of the pieces ending there; ``probs`` has a last row of zeros."""
     length = ids[0].shape[1]
     steps: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(length + 1)]
@@ -117,7 +141,7 @@ def _steps(ids: list[np.ndarray], probs: np.ndarray) -> list[list[tuple[int, np.
             column = found[:, start]
             if k == 0:
                 p = probs[column]
-                p[column < 0] = UNSEEN
+                p[column < 0] = unseen
             elif (column >= 0).any():
                 p = probs[column]
             else:
@@ -126,8 +150,8 @@ def _steps(ids: list[np.ndarray], probs: np.ndarray) -> list[list[tuple[int, np.
     return steps
 
 
-def word_logs(words: list[str], table: PieceTable, probs: np.ndarray) -> np.ndarray:
-    """log of the summed probability of all segmentations: (words, languages)."""
+def word_logs(words: list[str], table: PieceTable, probs: np.ndarray, unseen: float | np.ndarray = UNSEEN) -> np.ndarray:
+    """log of the summed probability of all segmentations: (words, languages).  ``unseen`` is that of a letter outside the vocabulary."""
     out = np.empty((len(words), probs.shape[1]))
     by_length: dict[int, list[int]] = {}
     for i, w in enumerate(words):
@@ -135,12 +159,12 @@ def word_logs(words: list[str], table: PieceTable, probs: np.ndarray) -> np.ndar
     for length, rows in by_length.items():
         for at in range(0, len(rows), max(1, 200_000 // length)):
             some = rows[at : at + max(1, 200_000 // length)]
-            out[some] = _forward([_START + words[i] for i in some], length, table, probs)
+            out[some] = _forward([_START + words[i] for i in some], length, table, probs, unseen)
     return out
 
 
-def _forward(words: list[str], length: int, table: PieceTable, probs: np.ndarray) -> np.ndarray:
-    steps = _steps(table.ids(_codes(words, length)), probs)
+def _forward(words: list[str], length: int, table: PieceTable, probs: np.ndarray, unseen: float | np.ndarray) -> np.ndarray:
+    steps = _steps(table.ids(_codes(words, length)), probs, unseen)
     shape = (len(words), probs.shape[1])
     alpha, scale = {0: np.ones(shape)}, np.zeros(shape)
     for end in range(1, length + 1):
@@ -158,33 +182,46 @@ def _forward(words: list[str], length: int, table: PieceTable, probs: np.ndarray
 
 def expected_counts(words: list[str], weights: np.ndarray, table: PieceTable, probs: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations of the weighted words; ``probs`` is one language's."""
-    out = np.zeros(table.size)
+    return expected_uses(words, weights, table, probs)[:-1]
+
+
+def expected_uses(words: list[str], weights: np.ndarray, table: PieceTable, probs: np.ndarray, unseen: float = UNSEEN) -> np.ndarray:
+    """``expected_counts``, followed by the uses of letters outside the vocabulary."""
+    out = np.zeros(table.size + 1)
     by_length: dict[int, list[int]] = {}
     for i, w in enumerate(words):
-        if len(w) < 64:  # longer runs of letters are no words to learn from
-            by_length.setdefault(len(w) + 1, []).append(i)
-    for length, rows in by_length.items():
-        ids = table.ids(_codes([_START + words[i] for i in rows], length))
-        steps = _steps(ids, probs[:, None])
-        n = len(rows)
-        alpha, beta = np.zeros((length + 1, n)), np.zeros((length + 1, n))
-        alpha[0] = beta[length] = 1
-        for end in range(1, length + 1):
-            for start, p in steps[end]:
-                alpha[end] += alpha[start] * p[:, 0]
-        for end in range(length, 0, -1):
-            for start, p in steps[end]:
-                beta[start] += beta[end] * p[:, 0]
-        share = weights[rows] / alpha[length]
-        for end in range(1, length + 1):
-            for start, p in steps[end]:
-                column = ids[end - start - 1][:, start]
-                use = alpha[start] * p[:, 0] * beta[end] * share
-                known = column >= 0
-                out += np.bincount(column[known], use[known], table.size)
+        by_length.setdefault(len(w) + 1, []).append(i)
+    for length, all_rows in by_length.items():
+        for at in range(0, len(all_rows), max(1, 200_000 // length)):
+            rows = all_rows[at : at + max(1, 200_000 // length)]
+            _add_counts(out, [_START + words[i] for i in rows], weights[rows], table, probs, unseen)
     return out
 
 
+def _add_counts(out: np.ndarray, words: list[str], weights: np.ndarray, table: PieceTable, probs: np.ndarray, unseen: float) -> None:
+    """Forward and backward sums as logarithms: the share of a piece's use is a difference of them, and finite."""
+    n, length = len(words), len(words[0])
+    ids = table.ids(_codes(words, length))
+    with np.errstate(divide="ignore"):
+        steps = [[(start, np.log(p[:, 0])) for start, p in step] for step in _steps(ids, probs[:, None], unseen)]
+    alpha, beta = np.full((length + 1, n), -np.inf), np.full((length + 1, n), -np.inf)
+    alpha[0] = beta[length] = 0
+    for end in range(1, length + 1):
+        for start, p in steps[end]:
+            np.logaddexp(alpha[end], alpha[start] + p, out=alpha[end])
+    for end in range(length, 0, -1):
+        for start, p in steps[end]:
+            np.logaddexp(beta[start], beta[end] + p, out=beta[start])
+    for end in range(1, length + 1):
+        for start, p in steps[end]:
+            column = ids[end - start - 1][:, start]
+            if start == end - 1:
+                column = np.where(column < 0, table.size, column)
+            known = column >= 0
+            use = np.exp(alpha[start] + p + beta[end] - alpha[length]) * weights
+            out += np.bincount(column[known], use[known], table.size + 1)
+
+
 def training_words(docs: DataFrame, allowed: Column, text_col: str = "text", lang_col: str = "lang", max_train: int = MAX_TRAIN) -> DataFrame:
     """(lang, word, n): distinct words of about ``max_train`` allowed documents of each language."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), allowed.alias("ok"))
@@ -195,15 +232,15 @@ def training_words(docs: DataFrame, allowed: Column, text_col: str = "text", lan
     if limits:
         limit = F.element_at(F.create_map(*limits), F.col("lang"))
         rows = rows.filter(F.pmod(F.xxhash64("text", "lang"), F.lit(unit)) < limit)
-    words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(rf"\p{{L}}{{1,{MAX_WORD}}}"), F.lit(0))).alias("word"))
     return words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 class Model:
-    """Languages, pieces and probabilities: (pieces + 1, languages), the last row zeros."""
+    """Languages, pieces and probabilities: (pieces + 1, languages), the last row zeros; and of a letter outside the vocabulary, per language."""
 
-    def __init__(self, langs: list[str], pieces: list[str], probs: np.ndarray) -> None:
-        self.langs, self.pieces, self.probs = langs, pieces, probs
+    def __init__(self, langs: list[str], pieces: list[str], probs: np.ndarray, unseen: float | np.ndarray = UNSEEN) -> None:
+        self.langs, self.pieces, self.probs, self.unseen = langs, pieces, probs, unseen
 
 
 def fit(words: DataFrame, pieces: list[str] | None = None, iterations: int = ITERATIONS) -> Model:
@@ -212,40 +249,43 @@ def fit(words: DataFrame, pieces: list[str] | None = None, iterations: int = ITE
     words = stored(words, "lang-words")
     langs = sorted(r.lang for r in words.select("lang").distinct().collect())
     size = len(pieces)
-    probs = np.zeros((size + 1, len(langs)))
+    probs, unseen = np.zeros((size + 1, len(langs))), np.full(len(langs), UNSEEN)
     probs[:size] = 1 / max(1, size)
     spark = words.sparkSession
     small_batches(spark)
     for _ in range(iterations if langs else 0):
-        now = spark.sparkContext.broadcast((langs, pieces, probs))
+        now = spark.sparkContext.broadcast((langs, pieces, probs, unseen))
 
         def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            langs, pieces, probs = now.value
-            table, sums = PieceTable(pieces), np.zeros((len(langs), len(pieces)))
+            langs, pieces, probs, unseen = now.value
+            table, sums = PieceTable(pieces), np.zeros((len(langs), len(pieces) + 1))
             for batch in batches:
                 lang, word, n = (c.to_pylist() for c in batch.columns)
                 for k, name in enumerate(langs):
                     rows = [i for i, x in enumerate(lang) if x == name]
                     if rows:
-                        sums[k] += expected_counts([word[i] for i in rows], np.array([n[i] for i in rows], float), table, probs[:, k])
+                        sums[k] += expected_uses([word[i] for i in rows], np.array([n[i] for i in rows], float), table, probs[:, k], unseen[k])
             k, piece = np.nonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(piece, pa.int32()), pa.array(sums[k, piece])], ["k", "piece", "uses"])
 
-        sums = np.zeros((size, len(langs)))
+        sums = np.zeros((size + 1, len(langs)))
         found = words.mapInArrow(expect, "k int, piece int, uses double").groupBy("k", "piece").agg(F.sum("uses").alias("uses"))
         for r in found.toLocalIterator():
             sums[r.piece, r.k] = r.uses
         probs = np.zeros_like(probs)
-        probs[:size] = (sums + SMOOTHING) / (sums + SMOOTHING).sum(axis=0)
+        shares = (sums + SMOOTHING) / (sums + SMOOTHING).sum(axis=0)
+        probs[:size], unseen = shares[:size], shares[size] * UNSEEN_LETTER
+        if not np.isfinite(shares).all():
+            raise ArithmeticError("piece probabilities are not finite")
         now.unpersist()
-    return Model(langs, pieces, probs)
+    return Model(langs, pieces, probs, unseen)
 
 
 class _Scorer:
     """Predicts texts; remembers the log probabilities of words it has met."""
 
     def __init__(self, model: Model) -> None:
-        self.langs, self.probs, self.table = model.langs, model.probs, PieceTable(model.pieces)
+        self.langs, self.probs, self.unseen, self.table = model.langs, model.probs, model.unseen, PieceTable(model.pieces)
         self.clear()
 
     def clear(self) -> None:
@@ -254,12 +294,12 @@ class _Scorer:
 
     def learn(self, new: set[str]) -> None:
         start, words = len(self.rows), list(new)
-        self.logs = np.concatenate([self.logs, word_logs(words, self.table, self.probs)])
+        self.logs = np.concatenate([self.logs, word_logs(words, self.table, self.probs, self.unseen)])
         self.rows.update(zip(words, range(start, start + len(words))))
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         langs, scores = [], []
-        found = [_LETTERS.findall(t.lower()) if t else [] for t in texts]
+        found = [words_of(t) if t else [] for t in texts]
         if len(self.rows) > _CACHE_WORDS:
             self.clear()
         if self.langs:
@@ -277,10 +317,11 @@ class _Scorer:
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` appended; only the text is read for them."""
+    """``docs`` with ``lang_pred`` and ``score`` appended (in place of columns of these names); only the text is read for them."""
     spark = docs.sparkSession
+    docs = docs.select(*[c for c in docs.columns if c == text_col or c not in ("lang_pred", "score")])
     small_batches(spark)
-    shared = spark.sparkContext.broadcast((model.langs, model.pieces, model.probs))
+    shared = spark.sparkContext.broadcast((model.langs, model.pieces, model.probs, model.unseen))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +338,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_s
     """The rows of ``docs`` whose text has a language, with a posterior of at least ``min_score``, as they are."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast((model.langs, model.pieces, model.probs))
+    shared = spark.sparkContext.broadcast((model.langs, model.pieces, model.probs, model.unseen))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -83,3 +83,48 @@ def test_no_training_text_and_empty_table(spark, make_docs):
     none = make_docs(["a word", None]).selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {(r.lang_pred, r.score) for r in langid.identify(none).collect()} == {("und", 0.0)}
     assert langid.identify(make_docs([])).count() == 0
+
+
+def test_letters_outside_the_vocabulary_do_not_break_training(spark, make_docs):
+    """Long runs of letters that the vocabulary lacks: finite probabilities, and the other languages as before."""
+    english = [f"the quick brown fox jumps over the lazy dog number {i} and then it goes home" for i in range(60)]
+    german = [f"der schnelle braune fuchs springt ueber den faulen hund nummer {i} und dann geht er heim" for i in range(60)]
+    odd = ["ꀀꀁꀂꀃ" * 10] * 3 + ["ꀄꀅ" * 500]
+    texts = english + german + odd
+    langs = ["en"] * 60 + ["de"] * 60 + ["ii"] * 4
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(zip(texts, langs))], "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r for r in langid.identify(docs).collect()}
+    assert all(0 <= r.score <= 1 for r in got.values())  # NaN is not
+    assert sum(got[i].lang_pred == g for i, g in enumerate(langs)) >= 122
+    model = langid.fit(langid.training_words(docs, ~langid.held_out(docs["doc_id"])))
+    assert np.isfinite(model.probs).all() and langid.keep_identified(docs, model).count() >= 122
+
+
+def test_one_rule_for_letters():
+    assert langid.words_of("Ab½c² Ⅷ① x_y3z 日本 é") == ["ab", "c", "x", "y", "z", "日本", "é"]
+    assert langid.words_of("½ ² Ⅷ ① ٣") == []
+    long = "ab" * 100
+    assert langid.words_of(long) == [long[i : i + 64] for i in (0, 64, 128, 192)]
+
+
+def test_training_and_scoring_read_the_same_words(spark):
+    texts = ["Ab½c² Ⅷ① x_y3z 日本 é", "ab" * 100, "áb", "", "ßẞ ǅ"]
+    rows = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    learned = {r.word for r in langid.training_words(rows, rows["doc_id"] >= 0).collect()}
+    assert learned == {w for t in texts for w in langid.words_of(t)}
+
+
+def test_long_words_have_finite_counts(model):
+    table, probs = model
+    words = ["ab" * 40, "z" * 64, "bz" * 32]
+    counts = langid.expected_counts(words, np.ones(3), table, probs[:, 0])
+    assert np.isfinite(counts).all() and 0 < counts.sum() <= sum(map(len, words)) + 3
+
+
+def test_clashing_columns_null_ids_and_long_texts(spark):
+    docs = spark.createDataFrame([(None, "the cat and the dog " * 50_000, "en", "x", 7.0), (None, "½", "en", "y", None), (3, None, None, "z", 1.0)], "doc_id long, text string, lang string, lang_pred string, score double")
+    got = langid.identify(docs)
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    assert sorted((r.lang_pred, r.score) for r in got.collect()) in ([("en", 1.0), ("und", 0.0), ("und", 0.0)], [("und", 0.0)] * 3)
+    model = langid.fit(langid.training_words(docs, docs["doc_id"].isNull()))
+    assert langid.predict(docs, model).columns == ["doc_id", "text", "lang", "lang_pred", "score"]

@@ -303,6 +303,9 @@ def archive_pages(pages: DataFrame, path: str | None = None, min_payload: int =
     manifest = write_archives(pages, f"{path}/monolithic")
     # an archive's changes are at most its own records; archives without any still get rewritten
     changes = revisits(manifest, min_payload).groupBy("archive").agg(F.collect_list(F.struct("ordinal", "refers_to")).alias("changes"))
-    names = manifest.select("archive").distinct()
-    done = normalise(names.join(changes, "archive", "left").repartition("archive"), f"{path}/records")
+    names = stored(manifest.select("archive").distinct(), "archive-names")
+    archives = names.count()
+    # a task for each archive: ranges of the names as they are sorted, since hashes of few names fall together
+    dealt = names.join(changes, "archive", "left").repartitionByRange(max(1, archives), "archive")
+    done = normalise(dealt, f"{path}/records")
     return read_records(read_index(pages.sparkSession, done))

@@ -79,3 +79,13 @@ def test_a_damaged_archive_is_refused():
         except ValueError:
             continue
         raise AssertionError("accepted")
+
+
+def test_a_task_for_each_archive(spark, tmp_path):
+    """Normalising is spread over as many tasks as there are archives, whatever their names hash to."""
+    pages = spark.range(320).selectExpr("id as page_id", "'u' as url", "repeat('x', cast(id as int)) as html").repartition(16)
+    rows = warc.archive_pages(pages, f"file://{tmp_path}")
+    assert rows.count() == 320
+    names = spark.createDataFrame([(f"/a/{i:06d}.warc.gz", None) for i in range(16)], "archive string, changes array<struct<ordinal: long, refers_to: long>>")
+    per_task = names.repartitionByRange(16, "archive").rdd.glom().map(len).collect()
+    assert per_task == [1] * 16

@@ -54,11 +54,11 @@ from shoplens.llm.common import _BYTES, mix, power, small_batches, stored
 
 LENGTH = 400
 #: Windows whose tokens are looked for at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Different stretches of a token that one bucket sorts together.
-HOT = 8192
+HOT = 512
 #: Bytes of stretches that a bucket sorts at a time.
-SORT_BYTES = 4 << 20
+SORT_BYTES = 2 << 20
 
 _PLACE_BITS = np.uint64(21)
 _PLACE = np.uint64((1 << 21) - 1)

@@ -1,7 +1,7 @@
 """Minimum-cost-flow resharding: move the fewest bytes from old shards to new capacities.
 
-Rows have a position, a hash of their id and text, cut into blocks and, within a
-block, cells.  One aggregation gives the bytes of every (old shard, block).
+Rows have a position, a hash of their id, text and place in the input (so that
+equal rows spread as well), cut into blocks and, within a block, cells.  One aggregation gives the bytes of every (old shard, block).
 The transfers between shards are then a transportation problem: old shards
 supply their bytes, new shards take up to their capacity, keeping a byte costs
 nothing and moving it costs one.  A small successive-shortest-path solver finds
@@ -13,8 +13,8 @@ Only files of affected shards are rewritten: a shard that keeps exactly its
 rows stays as it is.  Sizes are UTF-8 bytes of the text plus 8.
 
 Defined cases: a null text has size 8; null ids and repeated rows are placed
-like others (identical rows share one position); an empty table gives empty
-shards; further columns travel with the rows.
+like others; a text of any length is one row of one shard; an empty table gives
+empty shards; further columns travel with the rows.
 """
 
 from __future__ import annotations
@@ -40,8 +40,11 @@ def size_of(text: Column) -> Column:
 
 
 def position_of(id_col: Column, text: Column) -> Column:
-    """0 to 2^21 - 1, spread evenly over rows."""
-    return F.shiftrightunsigned(F.xxhash64(id_col, text), 64 - BLOCK_BITS - CELL_BITS)
+    """0 to 2^21 - 1, spread evenly over rows, equal ones too.
+
+    The row's place is its partition and number there, which stay the same whenever
+    a stored table is read."""
+    return F.shiftrightunsigned(F.xxhash64(id_col, text, F.monotonically_increasing_id()), 64 - BLOCK_BITS - CELL_BITS)
 
 
 def min_cost_flow(supply: list[int], capacity: list[int]) -> dict[tuple[int, int], int]:
@@ -172,8 +175,8 @@ def with_layout(docs: DataFrame, old: Column, id_col: str = "doc_id", text_col:
     return docs.withColumns({"_old": old.cast("int"), "_position": position_of(F.col(id_col), F.col(text_col)), "_size": size_of(F.col(text_col))})
 
 
-def reshard(docs: DataFrame, old: Column, old_shards: int, new_shards: int = NEW_SHARDS, capacity: list[int] | None = None, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> tuple[Plan, DataFrame, str]:
-    """Solve the transfers and rewrite the affected shards under ``path`` as ``shard=<n>`` folders.
+def reshard(docs: DataFrame, old: Column, old_shards: int, new_shards: int = NEW_SHARDS, capacity: list[int] | None = None, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, positions: bool = False) -> tuple[Plan, DataFrame, str]:
+    """Solve the transfers and rewrite the affected shards under ``path`` as ``shard=<n>`` folders, with each row's ``_position`` where ``positions`` is set.
 
     Returns the plan, all rows with their ``shard`` (before writing) and the path.
     """
@@ -187,7 +190,7 @@ def reshard(docs: DataFrame, old: Column, old_shards: int, new_shards: int = NEW
     slice_of = F.pmod(F.xxhash64("_position"), F.lit(slices))
     changed = placed.filter(F.col("shard").isin(sorted(plan.affected))) if len(plan.affected) < new_shards else placed
     spread = changed.repartition(int(new_shards * slices), "shard", slice_of)
-    spread.drop("_old", "_position", "_size").write.partitionBy("shard").option("compression", "zstd").parquet(path)
+    spread.drop("_old", "_size", *["_position"] * (not positions)).write.partitionBy("shard").option("compression", "zstd").parquet(path)
     return plan, placed, path
 
 
@@ -211,12 +214,12 @@ def reshard_documents(docs: DataFrame, old_shards: int = OLD_SHARDS, new_shards:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     old = F.pmod(crc32_of(F.col("doc_id")), F.lit(old_shards))
-    plan, placed, path = reshard(docs, old, old_shards, new_shards)
-    written = placed.filter("false") if not plan.affected else spark.read.schema("doc_id long, text string, shard int").parquet(path)
+    plan, placed, path = reshard(docs, old, old_shards, new_shards, positions=True)
+    written = placed.filter("false") if not plan.affected else spark.read.schema("doc_id long, text string, _position long, shard int").parquet(path)
     kept = placed.filter(~F.col("shard").isin(sorted(plan.affected))) if len(plan.affected) < new_shards else None
-    rows = written.select("doc_id", "text", "shard")
+    rows = written.select("doc_id", "text", "_position", "shard")
     if kept is not None:
-        rows = rows.unionByName(kept.select("doc_id", "text", "shard"))
+        rows = rows.unionByName(kept.select("doc_id", "text", "_position", "shard"))
     slim = rows.select(
         "doc_id",
         size_of(F.col("text")).alias("size"),
@@ -224,6 +227,6 @@ def reshard_documents(docs: DataFrame, old_shards: int = OLD_SHARDS, new_shards:
         F.lit("bytes").alias("law"),
         "shard",
         F.pmod(crc32_of(F.col("doc_id")), F.lit(old_shards)).cast("int").alias("old_shard"),
-        position_of(F.col("doc_id"), F.col("text")).alias("position"),
+        F.col("_position").alias("position"),
     )
     return with_slots(slim).select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")

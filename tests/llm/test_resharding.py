@@ -86,3 +86,14 @@ def test_nulls_repeats_and_empty(spark, make_docs):
     rows = rs.reshard_documents(nulls).collect()
     assert len(rows) == 3 and len({(r.shard, r.slot) for r in rows}) == 3
     assert rs.reshard_documents(make_docs([])).count() == 0
+
+
+def test_equal_rows_spread_over_all_shards(spark):
+    """Half of the rows are one and the same: they still make near-equal shards, and no window numbers them all."""
+    docs = spark.range(12000).selectExpr("if(id < 6000, 7, id) as doc_id", "if(id < 6000, 'the same text', repeat('x', cast(id % 25 as int))) as text").repartition(6)
+    rows = rs.reshard_documents(docs).collect()
+    load = [0] * 24
+    for r in rows:
+        load[r.shard] += r.size
+    assert len(rows) == 12000 and min(load) > 0.9 * max(load)
+    assert all(sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows))) for k in range(24))

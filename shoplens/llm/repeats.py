@@ -56,7 +56,7 @@ LENGTH = 400
 #: Windows whose tokens are looked for at a time.
 CHUNK = 1 << 19
 #: Different stretches of a token that one bucket sorts together.
-HOT = 512
+HOT = 8192
 #: Bytes of stretches that a bucket sorts at a time.
 SORT_BYTES = 2 << 20
 

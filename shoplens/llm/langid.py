@@ -54,7 +54,7 @@ UNSEEN_LETTER = 1e-4
 #: Letters of a run that make a word at the most.
 MAX_WORD = 64
 
-_RUNS = re.compile(r"[^\W\d_]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _START = "▁"
 _M = np.uint64(0x9E3779B97F4A7C15)
 _CACHE_WORDS = 300_000
@@ -73,7 +73,7 @@ def default_vocabulary() -> list[str]:
 def words_of(text: str) -> list[str]:
     """The words of a text."""
     out = []
-    for run in _RUNS.findall(text.lower()):
+    for run in _LETTERS.findall(text.lower()):
         if run.isalpha():
             parts = [run]
         else:  # numbers and number-like signs among the letters

@@ -1,37 +1,48 @@
 """Secret scanning with a recursive decoding worklist.
 
 Layer 0 is the text itself.  A worklist then unwraps every layer further:
-percent-encoding, Unicode escapes, base64 (both alphabets) and, inside decoded
-bytes, gzip, zlib, bzip2 and xz streams.  Every new layer is scanned again and
+percent-encoding, Unicode and byte escapes, base64 (both alphabets, with line
+breaks, at each of its four alignments, so that a prefix such as a URL path
+does not hide it), UTF-16 among decoded bytes, and gzip, zlib, bzip2 and xz
+streams in bytes that any of these gave.  Every new layer is scanned again and
 put on the worklist; a layer seen before is not, so the worklist reaches a
-fixpoint even on streams that decode to themselves.  Each layer carries, per
-character, the span of the original text it came from, so every match is
-reported as a span of the original text.
+fixpoint even on streams that decode to themselves.  Each layer knows where its
+characters came from in the layer above, so every match is reported as a span
+of the original text; places are worked out for matches only.
+
+Decoded bytes are read as UTF-8.  A byte that is not part of a character stays
+in the layer as a mark of its own, which no kind of secret contains: it costs
+only itself and is kept for the decompressors.
 
 Kinds are ``assign`` (a key-like name with a value of eight or more
 characters), ``access`` (an access-key id) and ``hex`` (a long lower-case hex
 run).  Matches in a decoded layer count only where they touch decoded
 characters, so they never repeat or replace layer 0's.
 
-Inflated streams are read in blocks with an overlap, so memory stays bounded
-and nothing inflated is skipped: all members of a stream are read, streams
-nested in it are inflated as streams, and a byte that is not UTF-8 costs only
-itself.  Base64 or escapes nested in a stream are unwrapped within a block.
-Defined cases: a null or empty text has no spans; undecodable or non-text bytes
-outside of streams are left alone; repeated rows are scanned each.
+Layers are drawn one at a time, and inflated streams in blocks with an overlap,
+each scanned and dropped before the next: memory does not grow with the
+inflated size.  All members of a stream are read, and streams that begin a
+stream are inflated as streams.  Base64, escapes or streams further inside a
+stream are unwrapped within a block of ``BLOCK`` characters.
+
+Defined cases: a null or empty text has no spans; a text of any length is
+scanned whole; repeated rows are scanned each; an empty table gives no rows;
+columns other than the id and the text are ignored by ``scan_secrets`` and kept
+by ``redact_secrets``, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import codecs
 import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,13 +60,20 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 MIN_VALUE, MIN_ACCESS = 8, 16
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
-_ESCAPE_PART = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+_ESCAPE = re.compile(r"(?:\\x[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
+_ESCAPE_PART = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_BREAK = r"(?:\r?\n|\\r\\n|\\n)[ \t]*"
+_BASE64_LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}+(?:{_BREAK}[A-Za-z0-9+/_-]{{16,}}+)*+(?:{_BREAK}[A-Za-z0-9+/_-]++)?={{0,2}}")
+_BREAKS = re.compile(_BREAK)
+_URL_SAFE = str.maketrans("-_", "+/")
+# How gzip, zlib, bzip2 and xz streams begin.
+_STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
 
 #: Characters per block of an inflated stream and the overlap of neighbouring blocks.
 BLOCK, OVERLAP = 1 << 22, 1 << 16
+#: Bytes handed to or taken from a decompressor at once.
+CHUNK = 1 << 18
 
 Span = tuple[str, int, int]
 
@@ -73,80 +91,136 @@ def scan(text: str) -> list[Span]:
 
 
 class _Layer:
-    """A decoded text; ``starts[i]``/``ends[i]`` is the original span of its character i, ``fresh[i]`` whether it was decoded."""
+    """A text, the layer it was decoded from, and how its stretches map to stretches there."""
+
+    __slots__ = ("text", "parent", "up", "decoded")
 
-    __slots__ = ("text", "starts", "ends", "fresh")
+    def __init__(self, text: str, parent: _Layer | None = None, up: Callable[[int, int], tuple[int, int]] | None = None, decoded: Callable[[int, int], bool] | None = None) -> None:
+        self.text, self.parent, self.up, self.decoded = text, parent, up, decoded
 
-    def __init__(self, text: str, starts: np.ndarray, ends: np.ndarray, fresh: np.ndarray) -> None:
-        self.text, self.starts, self.ends, self.fresh = text, starts, ends, fresh
+    def span(self, a: int, b: int) -> tuple[int, int]:
+        """The stretch of the original text that characters ``a`` to ``b`` came from."""
+        layer = self
+        while layer.parent is not None:
+            a, b = layer.up(a, b)
+            layer = layer.parent
+        return a, b
 
-    @classmethod
-    def whole(cls, text: str) -> _Layer:
-        at = np.arange(len(text) + 1, dtype=np.int64)
-        return cls(text, at[:-1], at[1:], np.zeros(len(text), bool))
+    def fresh(self, a: int, b: int) -> bool:
+        """Whether characters ``a`` to ``b`` hold a decoded one."""
+        if self.parent is None:
+            return False
+        return self.decoded is None or self.decoded(a, b)
 
     def key(self) -> bytes:
-        """Text and place: the same text elsewhere is a layer of its own."""
-        place = (int(self.starts[0]), int(self.ends[-1])) if len(self.text) else (0, 0)
-        return hashlib.blake2b(f"{place}".encode() + self.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        return _digest(self.text)
 
 
-def _as_text(data: bytes) -> str | None:
-    """UTF-8 text without control characters, else None."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if not text or _CONTROL.search(text) else text
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+class _Seen:
+    """The layers met so far.  The same text is a layer of its own elsewhere, not where its place overlaps an earlier one's."""
+
+    def __init__(self) -> None:
+        self.places: dict[bytes, list[tuple[int, int]]] = {}
+
+    def add(self, layer: _Layer) -> bool:
+        """Whether the layer is new."""
+        a, b = layer.span(0, len(layer.text))
+        places = self.places.setdefault(layer.key(), [])
+        i = bisect_right(places, (a, b))
+        if (i and places[i - 1][1] > a) or (i < len(places) and places[i][0] < b):
+            return False
+        places.insert(i, (a, b))
+        return True
 
 
-def _char_bytes(text: str) -> np.ndarray:
-    """Byte offset of each character of ``text`` in UTF-8, and the total at the end."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-    return np.concatenate(([0], np.cumsum(width)))
+def _text_of(data: bytes) -> str:
+    """UTF-8 text; each byte that is not part of a character becomes a mark that keeps it."""
+    return data.decode("utf-8", "surrogateescape")
+
+
+def _n_bytes(text: str) -> int:
+    return len(text.encode("utf-8", "surrogateescape"))
 
 
 def _replaced(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
-    """The layer with every match of ``pattern`` decoded; ``decode`` gives (text, offsets of its characters in the match) or None."""
-    parts, starts, ends, fresh, at = [], [], [], [], 0
+    """The layer with every match of ``pattern`` decoded.
+
+    ``decode(match)`` gives a text or None, ``decode(match, n)`` the number of
+    the match's characters that the first ``n`` characters of that text take.
+    """
+    parts, at, shift = [], 0, 0
+    begins, ends, olds, stops = array("q"), array("q"), array("q"), array("q")  # of each decoded piece: here, and in the layer above
     for m in pattern.finditer(layer.text):
-        if (got := decode(m[0])) is None:
+        if (new := decode(m[0])) is None:
             continue
-        new, cuts = got
         a, b = m.span()
         parts += [layer.text[at:a], new]
-        starts += [layer.starts[at:a], layer.starts[a + cuts[:-1]]]
-        ends += [layer.ends[at:a], layer.ends[a + cuts[1:] - 1]]
-        fresh += [layer.fresh[at:a], np.ones(len(new), bool)]
+        begins.append(a + shift)
+        ends.append(a + shift + len(new))
+        olds.append(a)
+        stops.append(b)
+        shift += len(new) - (b - a)
         at = b
     if not parts:
         return None
-    return _Layer("".join([*parts, layer.text[at:]]), *(np.concatenate([*x, y[at:]]) for x, y in ((starts, layer.starts), (ends, layer.ends), (fresh, layer.fresh))))
 
+    def back(x: int) -> int:
+        i = bisect_right(begins, x) - 1
+        if i < 0:
+            return x
+        if x >= ends[i]:
+            return x - ends[i] + stops[i]
+        return olds[i] + decode(layer.text[olds[i] : stops[i]], x - begins[i])
+
+    def end(b: int) -> int:
+        i = bisect_right(begins, b - 1) - 1
+        if i < 0:
+            return b
+        if b > ends[i]:
+            return b - ends[i] + stops[i]
+        return olds[i] + decode(layer.text[olds[i] : stops[i]], b - begins[i])
+
+    def up(a: int, b: int) -> tuple[int, int]:
+        return back(a), end(b)
 
-def _percent(match: str) -> tuple[str, np.ndarray] | None:
-    text = _as_text(bytes.fromhex(match.replace("%", "")))
-    return None if text is None else (text, 3 * _char_bytes(text))
+    def decoded(a: int, b: int) -> bool:
+        i = bisect_right(ends, a)
+        return (i < len(begins) and begins[i] < b) or layer.fresh(*up(a, b))
 
+    return _Layer("".join([*parts, layer.text[at:]]), layer, up, decoded)
 
-def _escapes(match: str) -> tuple[str, np.ndarray] | None:
-    """Escapes of code points; a UTF-16 surrogate pair becomes one character."""
+
+def _percent(match: str, n: int | None = None):
+    text = _text_of(bytes.fromhex(match.replace("%", "")))
+    return text if n is None else 3 * _n_bytes(text[:n])
+
+
+def _escapes(match: str, n: int | None = None):
+    """Escaped code points and bytes; a UTF-16 surrogate pair becomes one character, half a pair a mark."""
+    if match.startswith("\\x"):
+        text = _text_of(bytes.fromhex(match.replace("\\x", "")))
+        return text if n is None else 4 * _n_bytes(text[:n])
     if match.startswith("&#"):
         code = int(match[3:-1], 16) if match[2] in "xX" else int(match[2:-1])
-        return (chr(code), np.array([0, len(match)])) if 0 < code < 0x110000 and not 0xD800 <= code < 0xE000 else None
-    chars, cuts, end = [], [0], 0
-    for m in _ESCAPE_PART.finditer(match):
-        code, end = int(m[1] or m[2] or m[3], 16), m.end()
-        if chars and 0xDC00 <= code < 0xE000 and 0xD800 <= ord(chars[-1]) < 0xDC00:
-            chars[-1] = chr(0x10000 + ((ord(chars[-1]) - 0xD800) << 10) + code - 0xDC00)
-            cuts[-1] = end
-            continue
-        if code >= 0x110000:
+        if not (0 < code < 0x110000) or 0xD800 <= code < 0xE000:
             return None
-        chars.append(chr(code))
-        cuts.append(end)
-    return "".join(chars), np.array(cuts)
+        return chr(code) if n is None else n * len(match)
+    codes, cuts = [], [0]
+    for m in _ESCAPE_PART.finditer(match):
+        code = int(m[1] or m[2], 16)
+        if codes and 0xDC00 <= code < 0xE000 and 0xD800 <= codes[-1] < 0xDC00:
+            codes[-1] = 0x10000 + ((codes[-1] - 0xD800) << 10) + code - 0xDC00
+            cuts[-1] = m.end()
+        else:
+            codes.append(code)
+            cuts.append(m.end())
+    if n is not None:
+        return cuts[n]
+    return "".join("�" if 0xD800 <= c < 0xE000 or c >= 0x110000 else chr(c) for c in codes)
 
 
 def _machine(data: bytes):
@@ -172,7 +246,7 @@ def _inflated(source: Iterator[bytes]) -> Iterator[bytes]:
             if (machine := _machine(todo)) is None:
                 return
             while not machine.eof:
-                out = machine.decompress(todo, BLOCK)
+                out = machine.decompress(todo, CHUNK)
                 todo = getattr(machine, "unconsumed_tail", b"")
                 if out:
                     yield out
@@ -185,15 +259,19 @@ def _inflated(source: Iterator[bytes]) -> Iterator[bytes]:
         return
 
 
-def _blocks(data: bytes) -> Iterator[str]:
-    """Overlapping blocks of text of a compressed stream and of the streams nested in it; a byte that is not UTF-8 becomes a mark."""
+def _chunks(data: bytes, at: int) -> Iterator[bytes]:
+    return (data[i : i + CHUNK] for i in range(at, len(data), CHUNK))
+
+
+def _blocks(data: bytes, at: int) -> Iterator[str]:
+    """Overlapping blocks of text of a compressed stream from byte ``at`` on, and of the streams nested in it."""
     depth, seen = 0, set()
     while True:
         depth += 1
-        chunks: Iterator[bytes] = iter([data])
+        chunks: Iterator[bytes] = _chunks(data, at)
         for _ in range(depth):
             chunks = _inflated(chunks)
-        decoder, rest, mark, some = codecs.getincrementaldecoder("utf-8")("replace"), "", hashlib.blake2b(digest_size=16), False
+        decoder, rest, mark, some = codecs.getincrementaldecoder("utf-8")("surrogateescape"), "", hashlib.blake2b(digest_size=16), False
         for chunk in chunks:
             some = True
             mark.update(chunk)
@@ -209,27 +287,88 @@ def _blocks(data: bytes) -> Iterator[str]:
         seen.add(mark.digest())
 
 
+def _byte_layers(layer: _Layer, data: bytes, up: Callable[[int, int], tuple[int, int]]) -> Iterator[_Layer]:
+    """The UTF-16 readings and the compressed streams of bytes; ``up`` maps stretches of bytes to ``layer``."""
+    if b"\0" in data:
+        for first in (0, 1):
+            units = np.frombuffer(data, "<u2", (len(data) - first) // 2, first)
+            if len(units):
+                points = np.where((units >= 0xD800) & (units < 0xE000), 0xFFFD, units).astype("<u4")
+                yield _Layer(points.tobytes().decode("utf-32-le"), layer, lambda a, b, first=first: up(first + 2 * a, first + 2 * b))
+    starts = [m.start() for m in _STREAM.finditer(data)]
+    if _machine(data) is not None and starts[:1] != [0]:
+        starts.insert(0, 0)
+    for at in starts:
+        whole = up(at, len(data))
+        for block in _blocks(data, at):
+            yield _Layer(block, layer, lambda a, b, whole=whole: whole)
+
+
 def _base64_layers(layer: _Layer) -> Iterator[_Layer]:
-    """A layer per base64 run that holds text or a compressed stream of text."""
-    for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        run = run[: len(run) - (len(run) % 4 == 1)]
-        table = str.maketrans("-_", "+/")
-        try:
-            data = base64.b64decode(run.translate(table) + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        a, b = m.start(), m.start() + len(run)
-        if (text := _as_text(data)) is not None:
-            at = _char_bytes(text)
-            first, last = a + at[:-1] * 4 // 3, np.minimum(a + (at[1:] * 4 + 2) // 3, b)
-            last[-1] = m.end()  # with the padding
-            yield _Layer(text, layer.starts[first], layer.ends[last - 1], np.ones(len(text), bool))
+    """The readings of every base64 run, alone and with the lines that follow it, at each alignment."""
+    for pattern in (_BASE64, _BASE64_LINES):
+        for m in pattern.finditer(layer.text):
+            lines, at = array("q"), array("q")  # where the lines' characters begin: among all, and in the text
+            pieces, a = [], m.start()
+            for cut in [*_BREAKS.finditer(layer.text, a, m.end()), None]:
+                piece = layer.text[a : cut.start() if cut else m.end()]
+                lines.append(lines[-1] + len(pieces[-1]) if pieces else 0)
+                at.append(a)
+                pieces.append(piece)
+                a = cut.end() if cut else a
+            if pattern is _BASE64_LINES and len(pieces) == 1:
+                continue
+            run = "".join(pieces).rstrip("=").translate(_URL_SAFE)
+            yield from _aligned(layer, run, lines, at, m.end())
+
+
+def _aligned(layer: _Layer, run: str, lines: array, at: array, stop: int) -> Iterator[_Layer]:
+    def place(i: int) -> int:
+        k = bisect_right(lines, i) - 1
+        return at[k] + i - lines[k]
+
+    for first in range(4):
+        n = len(run) - first
+        n -= n % 4 == 1
+        if n < 8:
+            return
+        data = base64.b64decode(run[first : first + n] + "=" * (-n % 4))
+
+        def up(a: int, b: int, first=first, n=n, size=len(data)) -> tuple[int, int]:
+            """Bytes to characters; the end of the last byte takes the padding along."""
+            return place(first + a * 4 // 3), (stop if b >= size else place(first + min((b * 4 + 2) // 3, n) - 1) + 1)
+
+        yield from _byte_layers(layer, data, up)  # first, as their places are the wider ones
+        text = _text_of(data)
+        yield _Layer(text, layer, lambda a, b, up=up, text=text: up(_n_bytes(text[:a]), _n_bytes(text[:b])))
+
+
+_ENDS = re.compile(r"[^!-~]")
+_BINARY = re.compile("[\0\x01\x8b\x9c\xda\xfd\udc8b\udc9c\udcda\udcfd]|BZh|x\\^")
+
+
+def _pieces(layer: _Layer) -> Iterator[_Layer]:
+    """The readings as bytes of a decoded layer's stretches between white space that was not itself decoded."""
+    text = layer.text
+    if layer.parent is None or not _BINARY.search(text):
+        return
+    if layer.decoded is None:
+        cuts = [-1, len(text)]
+    else:
+        cuts = [-1, *(m.start() for m in _ENDS.finditer(text) if not layer.fresh(m.start(), m.end())), len(text)]
+    for a, b in zip(cuts, cuts[1:]):
+        a += 1
+        piece = text[a:b]
+        if not _BINARY.search(piece) or not layer.fresh(a, b):
             continue
-        lo, hi = int(layer.starts[a]), int(layer.ends[m.end() - 1])
-        for block in _blocks(data):
-            n = len(block)
-            yield _Layer(block, np.full(n, lo, np.int64), np.full(n, hi, np.int64), np.ones(n, bool))
+        readings = [piece]
+        if "+" in piece:
+            readings.append(re.sub(r"\+", lambda m, a=a: "+" if layer.fresh(a + m.start(), a + m.end()) else " ", piece))  # as forms write a space
+        for reading in readings:
+            data = reading.encode("utf-8", "surrogateescape")
+            yield from _byte_layers(layer, data, lambda x, y, a=a, data=data: (a + len(_text_of(data[:x])), a + len(_text_of(data[:y]))))
+        if any("\x80" <= c <= "\xff" for c in piece) and max(piece) <= "\xff":  # bytes written as code points
+            yield from _byte_layers(layer, piece.encode("latin-1"), lambda x, y, a=a: (a + x, a + y))
 
 
 def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
@@ -239,6 +378,7 @@ def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
     if ("\\" in text or "&#" in text) and (new := _replaced(layer, _ESCAPE, _escapes)):
         yield new
     yield from _base64_layers(layer)
+    yield from _pieces(layer)
 
 
 def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
@@ -248,19 +388,30 @@ def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
     base = scan(text)
     if not ("%" in text or "\\" in text or "&#" in text or _BASE64.search(text)):
         return base, []
-    more: set[Span] = set()
-    seen: set[bytes] = set()
-    work = list(_unwrapped(_Layer.whole(text)))
+    found: dict[tuple[str, bytes], set[tuple[int, int]]] = {}
+    seen = _Seen()
+    work = [_unwrapped(_Layer(text))]  # depth first: a layer of each depth at a time
     while work:
-        layer = work.pop()
-        if not layer.text or (key := layer.key()) in seen:
+        if (layer := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        if not layer.text or not seen.add(layer):
             continue
-        seen.add(key)
         for kind, a, b in scan(layer.text):
-            if layer.fresh[a:b].any():
-                more.add((kind, int(layer.starts[a]), int(layer.ends[b - 1])))
-        work += _unwrapped(layer)
-    return base, sorted(more - set(base), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+            if layer.fresh(a, b):
+                found.setdefault((kind, _digest(layer.text[a:b])), set()).add(layer.span(a, b))
+        work.append(_unwrapped(layer))
+    more = {(kind, a, b) for (kind, _), spans in found.items() for a, b in _outermost(spans)}
+    return base, _in_order(list(more - set(base)))
+
+
+def _outermost(spans: set[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Spans not inside another: one match may be read by several ways, say from a stream and from bytes it stores as they are."""
+    last = -1
+    for a, b in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if b > last:
+            last = b
+            yield a, b
 
 
 def _joined(spans: list[Span]) -> str:

@@ -159,3 +159,86 @@ def test_nested_streams_beyond_a_block(monkeypatch):
         for outer in PACKERS:
             blob = _b64(outer(inner(noise + b" " + SECRET.encode())))
             assert [k for k, _, _ in s.find_secrets(blob)[1]] == ["assign"]
+
+
+def _one(text):
+    base, more = s.find_secrets(text)
+    assert not base and [k for k, _, _ in more] == ["assign"], (text[:80], base, more)
+    return more[0][1:]
+
+
+PLAIN_SECRET = "password=hunter2hunter2"
+
+
+def test_compressed_bytes_in_escapes_and_percent():
+    long = ("some words before " * 3 + PLAIN_SECRET + " and after it").encode()
+    for pack in [*PACKERS, zlib.compress]:
+        data = pack(long)
+        for blob in (
+            "".join(f"%{b:02x}" for b in data),
+            urllib.parse.quote(data, safe=""),
+            urllib.parse.quote_plus(data),
+            "".join(f"\\x{b:02x}" for b in data),
+            repr(data)[2:-1].replace("\\t", "\\x09").replace("\\n", "\\x0a").replace("\\r", "\\x0d").replace("\\\\", "\\x5c").replace("\\'", "\\x27").replace("&#", "\\x26\\x23").replace(" ", "\\x20"),
+            "".join(f"\\u{b:04x}" for b in data),
+        ):
+            text = f"é see {blob} end"
+            a, b = _one(text)
+            assert 6 <= a < b <= len(text) - 4 and b - a >= len(blob) - 6
+
+
+def test_bytes_that_are_not_text_in_base64_and_percent():
+    for data in (b"a\0b " + PLAIN_SECRET.encode(), b"\x1b[0m " + PLAIN_SECRET.encode(), b"\xff\xfe\x80 " + PLAIN_SECRET.encode() + b" \xc3", PLAIN_SECRET.encode("utf-16"), ("\u65e5 " + PLAIN_SECRET).encode("utf-16-be"), b"x" + PLAIN_SECRET.encode("utf-16-le")):
+        assert _one("see " + _b64(data) + " end")
+        assert _one("see " + "".join(f"%{b:02X}" for b in data) + " end")
+    text = "%00" + urllib.parse.quote(PLAIN_SECRET, safe="")
+    a, b = _one(text)
+    assert text[a:b] == text[3:]
+    assert _one("".join(f"%{b:02X}" for b in PLAIN_SECRET.encode("utf-16-le")))
+
+
+def test_base64_over_lines_and_behind_a_prefix():
+    noise = random.Random(3).randbytes(400).hex(" ").encode()
+    stream = gzip.compress(noise + b" " + PLAIN_SECRET.encode() + b" " + noise)
+    for line in ("\n", "\r\n", "\n    ", "\\n"):
+        for data in (stream, b"words of all kinds " * 3 + b"api" + PLAIN_SECRET.encode() + b" more words " * 9):
+            blob = _b64(data)
+            wrapped = line.join(blob[i : i + 76] for i in range(0, len(blob), 76))
+            text = f"begin:{line}{wrapped}{line}-- end"
+            a, b = _one(text)
+            assert text.index(wrapped) <= a < b <= text.index(wrapped) + len(wrapped)
+    for prefix in ("http://x/", "a/b-c_", "data+", "id_", "X", "XY", "XYZ"):
+        for data in (stream, b"abc " + PLAIN_SECRET.encode()):
+            text = prefix + _b64(data)
+            a, b = _one(text)
+            assert len(prefix) <= a + 3 and b == len(text)
+
+
+def test_redaction_takes_the_reopened_layers(spark, make_docs):
+    blobs = [
+        urllib.parse.quote(gzip.compress(PLAIN_SECRET.encode()), safe=""),
+        _b64(b"a\0b " + PLAIN_SECRET.encode()),
+        _b64(PLAIN_SECRET.encode("utf-16")),
+        "http://x/" + _b64(gzip.compress(PLAIN_SECRET.encode())),
+    ]
+    rows = {r.doc_id: r.text for r in s.redact_secrets(make_docs([f"see {b} end" for b in blobs])).collect()}
+    assert len(rows) == len(blobs)
+    for text in rows.values():
+        assert "[assign]" in text and text.startswith("see ") and text.endswith(" end") and s.find_secrets(text) == ([], [])
+
+
+def test_memory_does_not_grow_with_the_inflated_size():
+    import subprocess
+    import sys
+
+    code = (
+        "import base64, gzip, resource, random\n"
+        "from shoplens.llm import secrets as s\n"
+        "line = b'lorem ipsum dolor sit amet ' * 40_000 + b'%25 '\n"
+        "blob = base64.b64encode(gzip.compress(line * 58 + b' password=hunter2hunter2')).decode()\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "assert [k for k, _, _ in s.find_secrets(blob)[1]] == ['assign']\n"
+        "print(before, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)\n"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[1]) - int(out[0]) < 150 * 1024  # kB, above what making 64 MB of text took

@@ -7,6 +7,7 @@ import random
 import re
 
 import xxhash
+from pyspark.sql import functions as F
 
 from shoplens.llm import quality as q
 
@@ -96,3 +97,24 @@ def test_a_long_repetitive_text_takes_linear_time(spark):
     got = {r.doc_id: r.n_repeat_words for r in q.with_base_rules(docs).select("doc_id", "n_repeat_words").collect()}
     assert got == {1: 80_000, 2: 10, 3: 7}
     assert time.time() - began < 30
+
+
+def test_every_trusted_document_counts(spark, make_docs):
+    """No bound on the trusted documents, whatever their ids; repeated and null ids are as before."""
+    labels = spark.range(60_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert q.trusted_ids(labels).count() == 60_000
+    ids = [-(1 << 63), -65, -64, -1, 0, 1, 63, 64, 70, 5_000_000_000, (1 << 63) - 1]
+    docs = spark.createDataFrame([(i, "a b") for i in ids] + [(70, "a b"), (2, "a b"), (-2, "a b"), (None, "a b")], "_id long, t string")
+    targets = spark.createDataFrame([(i,) for i in [*ids, 70, None]], "doc_id long")
+    got = [(r["_id"], r.trusted) for r in q._with_trust(docs, targets).collect()]
+    assert sorted(got, key=str) == sorted([(i, 1) for i in ids] + [(70, 1), (2, 0), (-2, 0), (None, 0)], key=str)
+
+
+def test_all_trusted_documents_make_the_ratios(spark):
+    """60,000 trusted documents: the query counts the words of all of them."""
+    labels = spark.range(60_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    docs = spark.range(70_000).selectExpr("id as doc_id", "if(id < 60000, concat('w', id % 500), 'x') as text")
+    ratio = {r.bucket: r.ratio for r in q.log_ratios(docs, q.trusted_ids(labels)).collect()}
+    h = docs.selectExpr("pmod(xxhash64(text), 10000) as b", "doc_id < 60000 as t").groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("t").cast("long")).alias("m")).collect()
+    for r in h:
+        assert ratio[r.b] == round((math.log((r.m + 1) / 70_000) - math.log((r.n + 1) / 80_000)) * q.SCALE)
